@@ -27,6 +27,8 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
+from .common import ship
+
 #: Bytes of a leaf, and pieces longer than this are long.
 LEAF = 2048
 #: Entries of a worker's memo; what is learned beyond that is forgotten after its batch.
@@ -258,6 +260,7 @@ def _digests(c: Codec, encoded: list[bytes]):
 def _mapped(docs: DataFrame, path: str, text: str, added: str, make) -> DataFrame:
     from pyspark.sql.types import StructType
 
+    ship(docs.sparkSession)
     extra = StructType.fromDDL(added)
     docs = docs.drop(*extra.names)
     schema = StructType([*docs.schema.fields, *extra.fields])

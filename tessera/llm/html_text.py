@@ -24,7 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialize
+from .common import let, materialize, ship
 
 #: Tokens by which suffixes are sorted: the least length of a repeat.
 DEPTH = 8
@@ -141,6 +141,7 @@ def _host(url: str) -> Column:
 
 def parse(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """page_id, url, host, page (its identity), main (article blocks joined), open and other (blocks)."""
+    ship(pages.sparkSession)
     identity = F.coalesce(F.col(url), F.concat(F.lit("id:"), F.coalesce(F.col(page_id).cast("string"), F.lit(""))))
     host = F.when(F.col(url).isNull() | (_host(url) == ""), identity).otherwise(_host(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), identity.alias("page"), F.col(page).alias("html"))

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, ship
 from .components import components
 
 THRESHOLD = 75  # of 100
@@ -260,6 +260,7 @@ def _links(segments: DataFrame, postings: DataFrame) -> DataFrame | None:
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (the smallest id in its component) and n_copies, the
     number of rows with the same set."""
+    ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     fragments = min(1 << 14, max(8, -(-size // FRAGMENT_BYTES)))
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))

@@ -56,7 +56,6 @@ def feistel(values: Column, radices: Column, key: str, kind: str, backwards: boo
         half = F.ceil(n / F.lit(2)).cast("int")
         left = lambda x: F.slice(x, F.lit(1), half)
         right = lambda x: F.slice(x, half + 1, n - half)
-        tag = F.concat_ws(",", F.lit(kind), n.cast("string"))
 
         def turn(state: Column, t: Column) -> Column:
             def moved(own: Column, radix: Column, other: Column) -> Column:
@@ -70,7 +69,6 @@ def feistel(values: Column, radices: Column, key: str, kind: str, backwards: boo
                 F.when(odd, state["b"]).otherwise(moved(state["b"], right(r), state["a"])).cast(long).alias("b"),
             )
 
-        del tag
         turns = F.sequence(F.lit(ROUNDS), F.lit(1)) if backwards else F.sequence(F.lit(1), F.lit(ROUNDS))
         start = F.struct(left(v).cast(long).alias("a"), right(v).cast(long).alias("b"))
         return F.aggregate(turns, start, turn, lambda s: F.concat(s["a"], s["b"]))
@@ -197,7 +195,7 @@ def _email(m: Column, key: str) -> Column:
 
 def replaced(m: Column, key: str) -> Column:
     """The pseudonym of one match, or the match itself if it is no valid value."""
-    whole = lambda k: m.rlike(f"^(?:{KINDS[k].replace('(?<![', '(?<![')})$")
+    whole = lambda k: m.rlike(f"^(?:{KINDS[k]})$")
     return (
         F.when(m.contains("@"), _email(m, key))
         .when(whole("date"), _date(m, key))

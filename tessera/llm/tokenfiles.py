@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec, slices
+from .common import ship
 
 END = 2
 #: Bytes of a row group and of a page before compression: pages hold some dozens of documents.
@@ -27,6 +28,7 @@ FILE = 24 << 20
 
 def tokenized(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
     """doc_id, source and lang where there, n_tokens and ids (with the end id), without any order."""
+    ship(docs.sparkSession)
     kept = [doc_id, *(c for c in ("source", "lang") if c in docs.columns and c not in (doc_id, text))]
     schema = docs.select(*kept, F.lit(0).cast("long").alias("n_tokens"), F.array(F.lit(0)).alias("ids")).schema
 

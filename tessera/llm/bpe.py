@@ -32,7 +32,7 @@ from .common import ship
 #: Bytes of a leaf, and pieces longer than this are long.
 LEAF = 2048
 #: Entries of a worker's memo; what is learned beyond that is forgotten after its batch.
-MEMO = 1_000_000
+MEMO = 250_000
 _TAIL = ".,;:!?"
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 

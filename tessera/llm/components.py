@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+def _print(edges: DataFrame) -> tuple:
+    """Tells sets of edges apart."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """For every node of the links: node and component, the smallest node that it is connected with."""
+    """For every node of the links: node and component, the smallest node that it is connected with. Stars stay as
+    they are, so links that already are stars take one step."""
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "edges")
-    before = None
+    before = _print(edges)
     while True:
         # Large star: each node's larger neighbours go to its smallest neighbour.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,7 +33,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = materialize(small.where("u <> v").distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        now = _print(edges)
         if now == before:
             break
         before = now

@@ -235,9 +235,10 @@ def _near(a: str, b: str):
     return F.lit(100) * F.least(a, b) >= F.lit(THRESHOLD) * F.greatest(a, b)
 
 
-def _links(segments: DataFrame, postings: DataFrame) -> DataFrame | None:
-    """Links between classes that make the same components as all links."""
-    links: DataFrame | None = None
+def _linked(segments: DataFrame, postings: DataFrame) -> DataFrame | None:
+    """The components that the links between classes make: cls and component for each class with a link. A round
+    adds its links to the stars of the rounds before, so nothing is contracted twice."""
+    stars: DataFrame | None = None
     lists = postings.withColumn("comp", F.col("cls"))
     for turn in range(ROUNDS + 1):
         live = lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "n", "comp")).alias("lead")).where("lo <> hi")
@@ -250,11 +251,13 @@ def _links(segments: DataFrame, postings: DataFrame) -> DataFrame | None:
             x, y = (lists.select("key", F.col("cls").alias(p), F.col("n").alias(f"n{p}"), F.col("comp").alias(f"c{p}")) for p in "ab")
             pairs = x.join(y, "key").where("a < b and ca <> cb").drop("key", "ca", "cb")
         found = materialize(_verified(pairs.where(_near("na", "nb")).distinct(), segments), "links")
-        links = found if links is None else materialize(links.unionByName(found), "links")
+        if not found.isEmpty():
+            grown = found if stars is None else found.unionByName(stars.select(F.col("cls").alias("a"), F.col("component").alias("b")))
+            stars = materialize(components(grown, "a", "b").withColumnRenamed("node", "cls"), "stars")
         if turn < ROUNDS:
-            comps = components(links, "a", "b").withColumnRenamed("node", "cls")
-            lists = lists.where("cls <> lead.cls").select("key", "cls", "n").join(comps, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    return links
+            lists = lists.where("cls <> lead.cls").select("key", "cls", "n")
+            lists = lists.withColumn("comp", F.col("cls")) if stars is None else lists.join(stars, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+    return stars
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -281,11 +284,11 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         segments.groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs"))
         .select("cls", "n", F.explode(F.slice(F.array_sort("xs"), F.lit(1), F.col("need").cast("int"))).alias("x")).select("cls", "n", F.col("x.keys").alias("key")).distinct()
     )
-    links = _links(segments.select("cls", "part", "keys"), postings)
-    if links is None:
+    stars = _linked(segments.select("cls", "part", "keys"), postings)
+    if stars is None:
         labels = classes.select("cls", "copies", F.col("first").alias("component_id"))
     else:
-        of = classes.join(components(links, "a", "b").withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        of = classes.join(stars, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         of = materialize(of.select("cls", "first", "copies", "component"), "classes")
         labels = of.join(of.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("cls", "copies", "component_id")
     out = members.join(labels, "cls", "left")

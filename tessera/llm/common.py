@@ -41,6 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def few(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """df in no more tasks than its rows need (but one a core): what iterates over small tables would otherwise
+    start a task for every shuffle partition in each step."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_task)))
+
+
 _shipped: set[str] = set()
 
 

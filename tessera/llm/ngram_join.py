@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
+from .common import few, materialize, ship
 from .components import components
 
 THRESHOLD = 75  # of 100
@@ -42,6 +42,8 @@ BITS = 48
 PARTS = 4
 #: Rounds of comparing with leaders before short lists are compared in full.
 ROUNDS = 3
+#: Bytes of text for each task of the steps that work on shared shingles and their lists.
+TASK_BYTES = 4 << 20
 #: Bytes of text hashed at once.
 CHUNK = 1 << 20
 
@@ -221,12 +223,12 @@ def _count_fragment(table):
     return pa.concat_tables(parts)
 
 
-def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, segments: DataFrame, size: int) -> DataFrame:
     """Of pairs (a, na, b, nb), those that link: overlaps are counted part by part and summed."""
     left = segments.select(F.col("cls").alias("a"), "part", F.col("keys").alias("ka"))
     right = segments.select(F.col("cls").alias("b"), F.col("part").alias("pb"), F.col("keys").alias("kb"))
-    met = pairs.join(left, "a").join(right, (pairs["b"] == right["b"]) & (F.col("part") == F.col("pb"))).drop(right["b"])
-    sums = met.select("a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+    met = few(pairs.join(left, "a"), size, TASK_BYTES).join(right, (pairs["b"] == right["b"]) & (F.col("part") == F.col("pb"))).drop(right["b"])
+    sums = few(met, size, TASK_BYTES).select("a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
     return sums.where(F.lit(100) * F.col("o") >= F.lit(THRESHOLD) * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
@@ -235,14 +237,14 @@ def _near(a: str, b: str):
     return F.lit(100) * F.least(a, b) >= F.lit(THRESHOLD) * F.greatest(a, b)
 
 
-def _linked(segments: DataFrame, postings: DataFrame) -> DataFrame | None:
+def _linked(segments: DataFrame, postings: DataFrame, size: int) -> DataFrame | None:
     """The components that the links between classes make: cls and component for each class with a link. A round
     adds its links to the stars of the rounds before, so nothing is contracted twice."""
     stars: DataFrame | None = None
     lists = postings.withColumn("comp", F.col("cls"))
     for turn in range(ROUNDS + 1):
         live = lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "n", "comp")).alias("lead")).where("lo <> hi")
-        lists = materialize(lists.join(live.select("key", "lead"), "key"), "lists")
+        lists = materialize(few(lists.join(live.select("key", "lead"), "key"), size, TASK_BYTES), "lists")
         if lists.isEmpty():
             break
         if turn < ROUNDS:
@@ -250,13 +252,15 @@ def _linked(segments: DataFrame, postings: DataFrame) -> DataFrame | None:
         else:
             x, y = (lists.select("key", F.col("cls").alias(p), F.col("n").alias(f"n{p}"), F.col("comp").alias(f"c{p}")) for p in "ab")
             pairs = x.join(y, "key").where("a < b and ca <> cb").drop("key", "ca", "cb")
-        found = materialize(_verified(pairs.where(_near("na", "nb")).distinct(), segments), "links")
+        pairs = few(pairs.where(_near("na", "nb")).distinct(), size, TASK_BYTES)
+        found = materialize(few(_verified(pairs, segments, size), size, TASK_BYTES), "links")
         if not found.isEmpty():
             grown = found if stars is None else found.unionByName(stars.select(F.col("cls").alias("a"), F.col("component").alias("b")))
             stars = materialize(components(grown, "a", "b").withColumnRenamed("node", "cls"), "stars")
         if turn < ROUNDS:
             lists = lists.where("cls <> lead.cls").select("key", "cls", "n")
             lists = lists.withColumn("comp", F.col("cls")) if stars is None else lists.join(stars, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+            lists = few(lists, size, TASK_BYTES)
     return stars
 
 
@@ -278,18 +282,18 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     need = held.join(classes.select("cls", "n"), "cls").withColumn("need", prefix - F.col("n") + F.col("held")).where("need > 0").select("cls", "n", "need")
     segments = materialize(
         shared.join(need, "cls").select("cls", "n", "need", F.explode(F.arrays_zip("keys", "ranks")).alias("x")).select("cls", "n", "need", F.pmod(F.col("x.keys"), F.lit(PARTS)).alias("part"), F.struct("x.ranks", "x.keys").alias("x"))
-        .groupBy("cls", "n", "need", "part").agg(F.collect_list("x").alias("xs")).withColumn("keys", F.col("xs.keys")), "segments"
+        .groupBy("cls", "n", "need", "part").agg(F.collect_list("x").alias("xs")).withColumn("keys", F.col("xs.keys")).transform(few, size, TASK_BYTES), "segments"
     )
     postings = (
-        segments.groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs"))
-        .select("cls", "n", F.explode(F.slice(F.array_sort("xs"), F.lit(1), F.col("need").cast("int"))).alias("x")).select("cls", "n", F.col("x.keys").alias("key")).distinct()
+        segments.groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs")).transform(few, size, TASK_BYTES)
+        .select("cls", "n", F.explode(F.array_distinct(F.slice(F.array_sort("xs"), F.lit(1), F.col("need").cast("int")))).alias("x")).select("cls", "n", F.col("x.keys").alias("key"))
     )
-    stars = _linked(segments.select("cls", "part", "keys"), postings)
+    stars = _linked(segments.select("cls", "part", "keys"), postings, size)
     if stars is None:
         labels = classes.select("cls", "copies", F.col("first").alias("component_id"))
     else:
         of = classes.join(stars, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        of = materialize(of.select("cls", "first", "copies", "component"), "classes")
+        of = materialize(few(of.select("cls", "first", "copies", "component"), size, TASK_BYTES), "classes")
         labels = of.join(of.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("cls", "copies", "component_id")
     out = members.join(labels, "cls", "left")
     return out.select(

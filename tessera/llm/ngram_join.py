@@ -13,7 +13,8 @@ THRESHOLD; the result is each document's connected component.
 4. In a posting list the first class is compared with the others instead of all with all. What links is
    contracted to components, the leaders leave their lists, and lists that are within one component are done.
    A few such rounds leave short lists of unlike classes, which are compared in full: no pair is skipped
-   unless its classes are already connected.
+   unless its classes are already connected. A list passes a pair on only if its classes could still link were
+   this shingle the first that they share: the overlap is then at most what follows in the shorter rest.
 5. Pairs are verified with exact counts: the shared shingles of the two classes are intersected fragment by
    fragment, the partial overlaps summed per pair.
 
@@ -232,9 +233,11 @@ def _verified(pairs: DataFrame, segments: DataFrame, size: int) -> DataFrame:
     return sums.where(F.lit(100) * F.col("o") >= F.lit(THRESHOLD) * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def _near(a: str, b: str):
-    """The length filter."""
-    return F.lit(100) * F.least(a, b) >= F.lit(THRESHOLD) * F.greatest(a, b)
+def _near(na: str, pa: str, nb: str, pb: str):
+    """The length filter, and the positional one: p shingles of a class come before the one that the two share.
+    Of a pair that links, the first common shingle passes it; other lists need not."""
+    most = F.least(F.col(na) - F.col(pa), F.col(nb) - F.col(pb))
+    return (F.lit(100) * F.least(na, nb) >= F.lit(THRESHOLD) * F.greatest(na, nb)) & (F.lit(100 + THRESHOLD) * most >= F.lit(THRESHOLD) * (F.col(na) + F.col(nb)))
 
 
 def _linked(segments: DataFrame, postings: DataFrame, size: int) -> DataFrame | None:
@@ -243,22 +246,22 @@ def _linked(segments: DataFrame, postings: DataFrame, size: int) -> DataFrame |
     stars: DataFrame | None = None
     lists = postings.withColumn("comp", F.col("cls"))
     for turn in range(ROUNDS + 1):
-        live = lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "n", "comp")).alias("lead")).where("lo <> hi")
+        live = lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "n", "comp", "pos")).alias("lead")).where("lo <> hi")
         lists = materialize(few(lists.join(live.select("key", "lead"), "key"), size, TASK_BYTES), "lists")
         if lists.isEmpty():
             break
         if turn < ROUNDS:
-            pairs = lists.where("cls <> lead.cls and comp <> lead.comp").select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
+            pairs = lists.where("cls <> lead.cls and comp <> lead.comp").select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("lead.pos").alias("pa"), F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
         else:
-            x, y = (lists.select("key", F.col("cls").alias(p), F.col("n").alias(f"n{p}"), F.col("comp").alias(f"c{p}")) for p in "ab")
-            pairs = x.join(y, "key").where("a < b and ca <> cb").drop("key", "ca", "cb")
-        pairs = few(pairs.where(_near("na", "nb")).distinct(), size, TASK_BYTES)
+            x, y = (lists.select("key", F.col("cls").alias(p), F.col("n").alias(f"n{p}"), F.col("pos").alias(f"p{p}"), F.col("comp").alias(f"c{p}")) for p in "ab")
+            pairs = x.join(y, "key").where("a < b and ca <> cb")
+        pairs = few(pairs.where(_near("na", "pa", "nb", "pb")).select("a", "na", "b", "nb").distinct(), size, TASK_BYTES)
         found = materialize(few(_verified(pairs, segments, size), size, TASK_BYTES), "links")
         if not found.isEmpty():
             grown = found if stars is None else found.unionByName(stars.select(F.col("cls").alias("a"), F.col("component").alias("b")))
             stars = materialize(components(grown, "a", "b").withColumnRenamed("node", "cls"), "stars")
         if turn < ROUNDS:
-            lists = lists.where("cls <> lead.cls").select("key", "cls", "n")
+            lists = lists.where("cls <> lead.cls").select("key", "cls", "n", "pos")
             lists = lists.withColumn("comp", F.col("cls")) if stars is None else lists.join(stars, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
             lists = few(lists, size, TASK_BYTES)
     return stars
@@ -286,7 +289,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     postings = (
         segments.groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs")).transform(few, size, TASK_BYTES)
-        .select("cls", "n", F.explode(F.array_distinct(F.slice(F.array_sort("xs"), F.lit(1), F.col("need").cast("int")))).alias("x")).select("cls", "n", F.col("x.keys").alias("key"))
+        .select("cls", "n", (prefix - F.col("need")).alias("own"), F.posexplode(F.array_distinct(F.slice(F.array_sort("xs"), F.lit(1), F.col("need").cast("int")))).alias("i", "x"))
+        .select("cls", "n", F.col("x.keys").alias("key"), (F.col("own") + F.col("i")).alias("pos"))
     )
     stars = _linked(segments.select("cls", "part", "keys"), postings, size)
     if stars is None:

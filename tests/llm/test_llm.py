@@ -255,6 +255,17 @@ def test_nearest_neighbours(spark):
     assert nn_descent.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_nearest_neighbours_beyond_the_leaves(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "LEAF", 32)  # far below the number of vectors
+    monkeypatch.setattr(nn_descent, "BEAM", 24)
+    x = np.random.default_rng(3).standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.vec_id) for r in nn_descent.search(rows, every=40).collect()]
+    want = {(q, int(i)) for q in range(0, 4000, 40) for i in [i for i in np.argsort(-(x @ x[q])) if i != q][:20]}
+    assert len(got) == len(want) and len(want & set(got)) / len(want) >= 0.95
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 

@@ -1,10 +1,14 @@
 """License scans (native expressions only): MinHash bands over text windows, then exact containment.
 
 Texts and templates become 5-word shingles of lower-case words without punctuation. For a template of n
-words, windows of 2n words start every n words, so that any occurrence of n words lies whole in a window, whose
-Jaccard similarity with the template is then 1/3 or more. With BANDS bands of one MinHash value each, such
-a window shares a band with chance 1 - (2/3) ** BANDS at least: 0.9999 for 24. A window and a template of a
-shared band are candidates; exact containment of the template's shingles, at least CONTAINMENT, verifies them.
+words, windows of 2n words start every n words, so that any occurrence of n words lies whole in a window. A window
+that holds a share c of the template's n - 4 shingles has a Jaccard similarity of c * (n - 4) / (2n - 4 + (1 - c) * (n - 4))
+with it at least: little over 1/3 for long templates, 1/6 for five words. With bands of one MinHash value each, such
+a window misses all with chance (1 - Jaccard) ** bands; each template takes as many bands as keep this under MISS for
+the c that is asked for. Where the template has so few shingles that this takes more bands than it has
+shingles, its shingles themselves are the bands: a window that holds any of them is a candidate, and none is missed.
+A window and a template of a shared band are candidates; exact containment of the template's shingles, at least
+CONTAINMENT, verifies them.
 
 A shared MinHash value is a shared shingle, so windows are only made of texts that hold a template's shingle at all:
 this test loses nothing and spares nearly all texts the windows. The template table is fixed and small (its
@@ -17,13 +21,15 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let, words
 
 SHINGLE = 5
-BANDS = 24
+MISS = 1e-4
 CONTAINMENT = 0.75
 
 # The usual notices of public licences.
@@ -57,8 +63,19 @@ def shingles(w: Column) -> Column:
     )
 
 
-def bands(s: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.array_min(F.transform(s, lambda x: F.xxhash64(x, b))).alias("low")))
+def n_bands(size: int, of: int, containment: float) -> int:
+    """The bands that a template of size words and of distinct shingles takes; 0: its shingles are the bands."""
+    held = max(1, math.ceil(containment * of - 1e-9))
+    jaccard = held / (2 * size - SHINGLE + 1 + of - held)
+    n = math.ceil(math.log(MISS) / math.log1p(-jaccard))
+    return 0 if n >= of else n
+
+
+def bands(s: Column, n: int, of: list[int]) -> Column:
+    """The n bands of the shingles s or, for 0, those shingles that are in of."""
+    if not n:
+        return F.transform(F.array_intersect(s, F.array(*(F.lit(x).cast("long") for x in of))), lambda x: F.struct(F.lit(-1).alias("band"), x.alias("low")))
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda b: F.struct(b.alias("band"), F.array_min(F.transform(s, lambda x: F.xxhash64(x, b))).alias("low")))
 
 
 def templates(spark: SparkSession, texts: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -71,7 +88,7 @@ def templates(spark: SparkSession, texts: dict[str, str] = TEMPLATES) -> DataFra
 def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, doc_id: str = "doc_id", text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
     """Per document and license found: doc_id, license, containment of the template in the best window, n_windows."""
     known = templates(docs.sparkSession, texts)
-    fixed = known.collect()  # the templates given, some dozens of rows
+    fixed = [r for r in known.collect() if r["of"]]  # the templates given, some dozens of rows
     literal = F.array(*(F.lit(x).cast("long") for x in sorted({x for r in fixed for x in r["of"]})))
     sizes = sorted({r["size"] for r in fixed})
     held = docs.select(F.col(doc_id).alias("__id"), shingles(normalized(F.col(text))).alias("__s")).where(F.arrays_overlap("__s", literal))
@@ -79,8 +96,14 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, doc_id: str = "doc_
     starts = lambda n: F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("__s") - 1), F.lit(n))
     of_size = lambda n: F.transform(starts(n), lambda a: F.struct(F.lit(n).alias("size"), F.array_distinct(F.slice("__s", a + 1, F.lit(2 * n - SHINGLE + 1))).alias("in")))
     windows = held.select("__id", F.explode(F.flatten(F.array(*map(of_size, sizes)))).alias("w")).where(F.arrays_overlap("w.in", literal))
-    banded = windows.select("__id", "w.size", "w.in", F.explode(bands(F.col("w.in"))).alias("b")).select("__id", "size", "in", "b.band", "b.low")
-    signed = known.select("license", "size", "of", F.explode(bands(F.col("of"))).alias("b")).select("license", "size", "of", "b.band", "b.low")
+    ways = {}  # by size: the bands, and the shingles of its templates
+    for n in sizes:
+        of = [r["of"] for r in fixed if r["size"] == n]
+        needed = [n_bands(n, len(x), containment) for x in of]
+        ways[n] = (0 if 0 in needed else max(needed), sorted({x for y in of for x in y}))
+    keys = lambda size, s: F.explode(F.coalesce(*(F.when(size == n, bands(s, *way)) for n, way in ways.items())))
+    banded = windows.select("__id", "w.size", "w.in", keys(F.col("w.size"), F.col("w.in")).alias("b")).select("__id", "size", "in", "b.band", "b.low")
+    signed = known.select("license", "size", "of", keys(F.col("size"), F.col("of")).alias("b")).select("license", "size", "of", "b.band", "b.low")
     found = banded.join(F.broadcast(signed), ["size", "band", "low"])
     share = F.size(F.array_intersect("in", "of")) / F.size("of")
     best = found.select("__id", "license", share.alias("c"), F.xxhash64("in").alias("w")).where(F.col("c") >= containment).distinct()

@@ -233,6 +233,15 @@ def test_licences(spark):
     assert licences.scan(documents(spark, [])).count() == 0
 
 
+def test_short_licences(spark):
+    rng = random.Random(5)
+    around = lambda: " ".join(f"w{rng.randint(0, 10**9)}" for _ in range(rng.randint(10, 40)))
+    planted = [name for name, x in licences.TEMPLATES.items() if len(x.split()) <= 12 for _ in range(300)]
+    texts = [f"{around()} {licences.TEMPLATES[name]} {around()}" for name in planted]
+    got = {(r.doc_id, r.license) for r in licences.scan(documents(spark, texts)).collect() if r.containment == 1}
+    assert {"mit", "cc-by-nc-4.0"} <= set(planted) and not [x for x in enumerate(planted) if x not in got]
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((1500, 16)).round(6)

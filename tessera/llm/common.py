@@ -47,6 +47,19 @@ def few(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
     return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_task)))
 
 
+def trim() -> None:
+    """Gives a Python worker's free memory back to the machine: the worker stays for later tasks, its arrays need not."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 _shipped: set[str] = set()
 
 

@@ -6,22 +6,25 @@ THRESHOLD; the result is each document's connected component.
 1. Every document becomes a set of 64-bit shingle hashes; documents with equal sets form a class, and classes
    are joined instead of documents, so groups of exact copies cost one member.
 2. The global order of shingles is cut into fragments by hash. A fragment gets every class's shingles of that
-   range, counts in how many classes each occurs, and keeps the shared ones only.
+   range, counts in how many classes each occurs, and keeps the shared ones only. There are as many fragments as the
+   texts' bytes ask for, so that each stays small.
 3. A class of n shingles can only link with one that shares at least ceil(0.75 n) of them, so among its
    n - ceil(0.75 n) + 1 rarest shingles there is a common one. If fewer are shared at all, the class is done;
    otherwise its rarest shared ones are its postings (rare first in one global order, by all classes' counts).
-4. In a posting list the first class is compared with the others instead of all with all. What links is
-   contracted to components, the leaders leave their lists, and lists that are within one component are done.
-   A few such rounds leave short lists of unlike classes, which are compared in full: no pair is skipped
+4. The classes of a posting list have a hashed order, another one in each list. The first of them, the leaders, are
+   compared with all that follow, what links is contracted to components, the leaders leave, and lists that are
+   within one component are done. Each round takes LEADERS times as many leaders as the one before, so few rounds
+   end any list, and lists of near copies end in the first ones with one pair an entry. No pair is skipped
    unless its classes are already connected. A list passes a pair on only if its classes could still link were
    this shingle the first that they share: the overlap is then at most what follows in the shorter rest.
-5. Pairs are verified with exact counts: the shared shingles of the two classes are intersected fragment by
-   fragment, the partial overlaps summed per pair.
+5. Pairs are verified with exact counts: the shared shingles of the two classes are intersected part by part (a part
+   is every PARTS-th fragment), the partial overlaps summed per pair.
 
 Defined cases: null text, and text without words, has an empty set and is linked with nothing; a text of 1 to 4
 words is one shingle; repeated rows are copies of each other; rows with a null id take part and keep a null
-id, and a component holding only such rows has a null component; an empty table gives an empty result. The
-sets are compared by 64-bit hashes (in the fragments at least 48 bits beside the fragment's number).
+id, and a component holding only such rows has a null component; an empty table gives an empty result; a text of any
+length is one set; of docs' other columns near_groups reads none, and keep_one passes all on. The sets are compared by
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,19 +33,17 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, materialize, ship
+from .common import few, materialize, ship, trim
 from .components import components
 
 THRESHOLD = 75  # of 100
 SHINGLE = 5
-#: Bytes of text whose shingles share a fragment, about four million shingles.
-FRAGMENT_BYTES = 24 << 20
-#: Bits of a shingle kept beside its fragment.
-BITS = 48
-#: Fragments in which overlaps are counted.
+#: Bytes of text whose shingles share a fragment, over a million shingles.
+FRAGMENT_BYTES = 8 << 20
+#: Parts in which overlaps are counted.
 PARTS = 4
-#: Rounds of comparing with leaders before short lists are compared in full.
-ROUNDS = 3
+#: Times as many leaders of a list in each round as in the round before.
+LEADERS = 4
 #: Bytes of text for each task of the steps that work on shared shingles and their lists.
 TASK_BYTES = 4 << 20
 #: Bytes of text hashed at once.
@@ -108,19 +109,25 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) ->
     return out
 
 
+_CUT = "frag int, ids array<bigint>, tags array<bigint>, classes binary, counts binary, shingles binary"
+
+
 def _fragment_rows(fragments: int):
-    """Batches of (id, text) to rows for the fragments. kind 0 carries documents: their ids, classes and set
-    sizes; kind 1 carries, for each class met first by this task, its shingles of the fragment."""
+    """Batches of (id, tag, text) to rows for the fragments. Rows with ids carry documents, dealt to any fragment:
+    their ids, tags, classes and set sizes; the others carry, for each class that this task meets first, its shingles
+    of the fragment."""
 
     def run(batches):
         import pyarrow as pa
         import xxhash
+        from pyspark import TaskContext
 
         from .bpe import slices
 
         seen: set[int] = set()
+        turn = TaskContext.get().partitionId() * 7919
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).fill_null("")
+            texts = batch.column(2).fill_null("")
             for part in slices(texts, CHUNK):
                 col = texts[part]
                 offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
@@ -133,94 +140,81 @@ def _fragment_rows(fragments: int):
                     if n and c not in seen:
                         seen.add(c)
                         fresh.append(i)
-                rows = {"frag": [], "kind": [], "ids": [], "classes": [], "counts": [], "shingles": []}
-                where = (classes.astype(np.uint64) % np.uint64(fragments)).astype(np.int64)
-                for f in np.unique(where):
-                    at = np.flatnonzero(where == f)
-                    own = ids[part].take(pa.array(at)).to_pylist()
-                    rows["frag"].append(int(f))
-                    rows["kind"].append(0)
-                    rows["ids"].append(own)
-                    rows["classes"].append(classes[at].tobytes())
-                    rows["counts"].append(sizes[at].tobytes())
-                    rows["shingles"].append(None)
+                turn += 1
+                ids, tags = ([batch.column(k)[part].to_pylist()] for k in (0, 1))
+                frags, kinds, counts, shingles = [turn % fragments], [classes.tobytes()], [sizes.tobytes()], [None]
                 if fresh:
                     values = np.concatenate([sets[i] for i in fresh])
                     owner = np.repeat(np.arange(len(fresh)), sizes[fresh])
                     frag = ((values >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
                     order = np.argsort(frag, kind="stable")
-                    cuts = np.searchsorted(frag[order], np.arange(fragments + 1))
-                    raw = np.ascontiguousarray(values[order].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, : BITS // 8]
-                    owner = owner[order]
-                    for f in range(fragments):
-                        a, b = int(cuts[f]), int(cuts[f + 1])
-                        if a == b:
-                            continue
-                        who, counts = np.unique(owner[a:b], return_counts=True)
-                        rows["frag"].append(f)
-                        rows["kind"].append(1)
-                        rows["ids"].append(None)
-                        rows["classes"].append(classes[np.array(fresh)[who]].tobytes())
-                        rows["counts"].append(counts.astype(np.int64).tobytes() if counts.max() > 65535 else counts.astype(np.uint16).tobytes())
-                        rows["shingles"].append(raw[a:b].tobytes())
+                    there, starts = np.unique(frag[order], return_index=True)
+                    raw, owner = np.ascontiguousarray(values[order].astype("<u8")), owner[order]
+                    of = classes[np.array(fresh)]
+                    for f, a, b in zip(there.tolist(), starts.tolist(), [*starts.tolist()[1:], len(raw)], strict=True):
+                        new = np.flatnonzero(np.concatenate([[True], owner[a + 1 : b] != owner[a : b - 1]]))
+                        many = np.diff(np.append(new, b - a))
+                        frags.append(f)
+                        kinds.append(of[owner[a:b][new]].tobytes())
+                        counts.append(many.tobytes() if many.max() > 65535 else many.astype(np.uint16).tobytes())
+                        shingles.append(raw[a:b].tobytes())
+                rest = [None] * (len(frags) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["frag"], pa.int32()), pa.array(rows["kind"], pa.int32()), pa.array(rows["ids"], pa.list_(pa.int64())), *(pa.array(rows[k], pa.binary()) for k in ("classes", "counts", "shingles"))],
-                    names=list(rows),
+                    [pa.array(frags, pa.int32()), *(pa.array(x + rest, pa.list_(pa.int64())) for x in (ids, tags)), *(pa.array(x, pa.binary()) for x in (kinds, counts, shingles))],
+                    names=["frag", "ids", "tags", "classes", "counts", "shingles"],
                 )
+        trim()
 
     return run
 
 
-_OUT = "kind int, id bigint, cls bigint, n bigint, keys array<bigint>, ranks array<tinyint>"
+_OUT = "kind int, id bigint, tag bigint, cls bigint, n bigint, part int, keys array<bigint>, ranks array<tinyint>"
 
 
 def _count_fragment(table):
     """One fragment's rows to documents (kind 0) and each class's shared shingles with the logarithm of their
     number of classes (kind 1)."""
     import pyarrow as pa
-
-    schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int8()))])
-    kinds = np.array(table.column("kind").to_pylist(), np.int32)
-    docs = table.filter(pa.array(kinds == 0))
-    ids = pa.chunked_array([x.values if hasattr(x, "values") else x for x in docs.column("ids").chunks], pa.int64()) if len(docs) else pa.array([], pa.int64())
-    ids = docs.column("ids").combine_chunks().flatten() if len(docs) else ids
-    cls0 = np.frombuffer(b"".join(docs.column("classes").to_pylist()), np.int64)
-    n0 = np.frombuffer(b"".join(docs.column("counts").to_pylist()), np.int64)
-    k = len(cls0)
-    empty = pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int8()))
-    parts = [pa.Table.from_arrays([pa.array(np.zeros(k, np.int32)), ids, pa.array(cls0, mask=n0 == 0), pa.array(n0), *empty], schema=schema)]
-    segments = table.filter(pa.array(kinds == 1))
+    import pyarrow.compute as pc
+
+    schema = pa.schema(
+        [("kind", pa.int32()), ("id", pa.int64()), ("tag", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int8()))]
+    )
+    docs, segments = table.filter(pc.is_valid(table["ids"])), table.filter(pc.is_null(table["ids"]))
+    parts = []
+    if len(docs):
+        cls0, n0 = (np.frombuffer(b"".join(docs[c].to_pylist()), np.int64) for c in ("classes", "counts"))
+        k = len(cls0)
+        ids, tags = (docs[c].combine_chunks().flatten() for c in ("ids", "tags"))
+        parts.append(pa.Table.from_arrays([pa.array(np.zeros(k, np.int32)), ids, tags, pa.array(cls0, mask=n0 == 0), pa.array(n0), *(pa.nulls(k, schema.field(i).type) for i in (5, 6, 7))], schema=schema))
     if len(segments):
-        frag = segments.column("frag")[0].as_py()
-        cls, counts, raw = [], [], []
-        for c, n, s in zip(*(segments.column(x).to_pylist() for x in ("classes", "counts", "shingles")), strict=True):
-            c = np.frombuffer(c, np.int64)
-            cls.append(c)
-            counts.append(np.frombuffer(n, np.int64 if len(n) == 8 * len(c) else np.uint16).astype(np.int64))
-            raw.append(s)
+        frag = segments["frag"][0].as_py()
+        cls, counts = [], []
+        for c, n in zip(segments["classes"].to_pylist(), segments["counts"].to_pylist(), strict=True):
+            cls.append(np.frombuffer(c, np.int64))
+            counts.append(np.frombuffer(n, np.int64 if len(n) == len(c) else np.uint16).astype(np.int64))
         cls, counts = np.concatenate(cls), np.concatenate(counts)
-        wide = np.zeros((int(counts.sum()), 8), np.uint8)
-        wide[:, : BITS // 8] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BITS // 8)
-        value = wide.view("<u8").ravel()
-        del wide, raw
+        value = np.frombuffer(b"".join(segments["shingles"].to_pylist()), "<u8")
         once = np.zeros(len(cls), bool)
         once[np.unique(cls, return_index=True)[1]] = True  # other tasks may have met the class too
-        value, cls, counts = value[np.repeat(once, counts)], cls[once], counts[once]
-        order = np.argsort(value, kind="stable")
+        if not once.all():
+            value, cls, counts = value[np.repeat(once, counts)], cls[once], counts[once]
+        order = np.argsort(value, kind="stable").astype(np.uint32)
         sorted_ = value[order]
-        new = np.concatenate([[True], sorted_[1:] != sorted_[:-1]])
-        runs = np.diff(np.append(np.flatnonzero(new), len(sorted_)))
-        df = np.empty(len(value), np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+        del sorted_
+        runs = np.diff(np.append(starts, len(value))).astype(np.uint32)
+        df = np.empty(len(value), np.uint32)
         df[order] = np.repeat(runs, runs)
+        del order
         shared = df > 1
-        owner = np.repeat(np.arange(len(cls)), counts)[shared]
-        held = np.bincount(owner, minlength=len(cls))
+        held = np.bincount(np.repeat(np.arange(len(cls)), counts)[shared], minlength=len(cls))
         offsets = np.concatenate([[0], np.cumsum(held[held > 0])]).astype(np.int32)
-        keys = value[shared].astype(np.int64) | np.int64(frag << BITS)
         ranks = np.log2(df[shared].astype(np.float64)).astype(np.int8)
         m = len(offsets) - 1
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ranks))
-        parts.append(pa.Table.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(cls[held > 0]), pa.nulls(m, pa.int64()), *lists], schema=schema))
+        lists = (pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (value[shared].view(np.int64), ranks))
+        parts.append(pa.Table.from_arrays([pa.array(np.ones(m, np.int32)), *(pa.nulls(m, pa.int64()),) * 2, pa.array(cls[held > 0]), pa.nulls(m, pa.int64()), pa.array(np.full(m, frag % PARTS, np.int32)), *lists], schema=schema))
+    trim()
     return pa.concat_tables(parts)
 
 
@@ -244,77 +238,83 @@ def _linked(segments: DataFrame, postings: DataFrame, size: int) -> DataFrame |
     """The components that the links between classes make: cls and component for each class with a link. A round
     adds its links to the stars of the rounds before, so nothing is contracted twice."""
     stars: DataFrame | None = None
-    lists = postings.withColumn("comp", F.col("cls"))
-    for turn in range(ROUNDS + 1):
-        live = lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("cls", "n", "comp", "pos")).alias("lead")).where("lo <> hi")
-        lists = materialize(few(lists.join(live.select("key", "lead"), "key"), size, TASK_BYTES), "lists")
+    # A class's place in a list, from 0 to 1: its leaders come first, and differ from list to list.
+    place = (F.shiftrightunsigned(F.xxhash64("key", "cls"), 11).cast("double") / F.lit(float(1 << 53))).alias("u")
+    lists = postings.select("key", "cls", "n", "pos", place, F.col("cls").alias("comp"))
+    turn = 0
+    while True:
+        live = lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("u").alias("first"), F.count(F.lit(1)).alias("many")).where("lo <> hi")
+        upto = F.greatest("first", F.col("first") + F.lit(float(LEADERS**turn - 1)) / F.col("many") * (1 - F.col("first")))
+        lists = materialize(few(lists.join(live.select("key", upto.alias("upto")), "key"), size, TASK_BYTES), "lists")
         if lists.isEmpty():
-            break
-        if turn < ROUNDS:
-            pairs = lists.where("cls <> lead.cls and comp <> lead.comp").select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("lead.pos").alias("pa"), F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-        else:
-            x, y = (lists.select("key", F.col("cls").alias(p), F.col("n").alias(f"n{p}"), F.col("pos").alias(f"p{p}"), F.col("comp").alias(f"c{p}")) for p in "ab")
-            pairs = x.join(y, "key").where("a < b and ca <> cb")
-        pairs = few(pairs.where(_near("na", "pa", "nb", "pb")).select("a", "na", "b", "nb").distinct(), size, TASK_BYTES)
+            return stars
+        led = lists.where("u <= upto").select("key", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("u").alias("ua"), F.col("comp").alias("ca"))
+        rest = lists.select("key", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("u").alias("ub"), F.col("comp").alias("cb"))
+        met = rest.join(led, "key").where("(ua < ub or ua = ub and a < b) and ca <> cb").where(_near("na", "pa", "nb", "pb"))
+        pairs = few(met.select(*(F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in ("ab", "ba")), *(F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("na", "nb"), ("nb", "na")))).distinct(), size, TASK_BYTES)
         found = materialize(few(_verified(pairs, segments, size), size, TASK_BYTES), "links")
         if not found.isEmpty():
             grown = found if stars is None else found.unionByName(stars.select(F.col("cls").alias("a"), F.col("component").alias("b")))
             stars = materialize(components(grown, "a", "b").withColumnRenamed("node", "cls"), "stars")
-        if turn < ROUNDS:
-            lists = lists.where("cls <> lead.cls").select("key", "cls", "n", "pos")
-            lists = lists.withColumn("comp", F.col("cls")) if stars is None else lists.join(stars, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-            lists = few(lists, size, TASK_BYTES)
-    return stars
+        lists = lists.where("u > upto").select("key", "cls", "n", "pos", "u")
+        lists = lists.withColumn("comp", F.col("cls")) if stars is None else lists.join(stars, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+        lists = few(lists, size, TASK_BYTES)
+        turn += 1
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of docs: doc_id, n_shingles, component_id (the smallest id in its component) and n_copies, the
-    number of rows with the same set."""
+def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Members: id, tag (a hash of the text), cls and n for each row. Labels: cls, copies, and the first of its
+    component, the smallest (id is null, id, tag)."""
     ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    fragments = min(1 << 14, max(8, -(-size // FRAGMENT_BYTES)))
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    cut = rows.mapInArrow(_fragment_rows(fragments), "frag int, kind int, ids array<bigint>, classes binary, counts binary, shingles binary")
+    fragments = max(8, -(-size // FRAGMENT_BYTES))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
+    cut = rows.mapInArrow(_fragment_rows(fragments), _CUT)
     counted = materialize(cut.groupBy("frag").applyInArrow(_count_fragment, _OUT), "fragments", "kind")
-    members = counted.where("kind = 0").select("id", "cls", "n")
-    classes = members.where("cls is not null").groupBy("cls").agg(F.min("id").alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    shared = counted.where("kind = 1").select("cls", "keys", "ranks")
+    members = counted.where("kind = 0").select("id", "tag", "cls", "n")
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "tag")
+    classes = members.where("cls is not null").groupBy("cls").agg(F.min(row).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    shared = counted.where("kind = 1").select("cls", "part", F.arrays_zip("ranks", "keys").alias("xs"))
     # need = how many of the class's shared shingles belong to its prefix; the others of the prefix are its own.
     prefix = F.expr(f"n - cast(ceil({THRESHOLD} * n / 100) as bigint) + 1")
-    held = shared.groupBy("cls").agg(F.sum(F.size("keys")).alias("held"))
+    held = shared.groupBy("cls").agg(F.sum(F.size("xs")).alias("held"))
     need = held.join(classes.select("cls", "n"), "cls").withColumn("need", prefix - F.col("n") + F.col("held")).where("need > 0").select("cls", "n", "need")
-    segments = materialize(
-        shared.join(need, "cls").select("cls", "n", "need", F.explode(F.arrays_zip("keys", "ranks")).alias("x")).select("cls", "n", "need", F.pmod(F.col("x.keys"), F.lit(PARTS)).alias("part"), F.struct("x.ranks", "x.keys").alias("x"))
-        .groupBy("cls", "n", "need", "part").agg(F.collect_list("x").alias("xs")).withColumn("keys", F.col("xs.keys")).transform(few, size, TASK_BYTES), "segments"
-    )
+    segments = shared.join(need, "cls").groupBy("cls", "n", "need", "part").agg(F.flatten(F.collect_list("xs")).alias("xs"))
+    segments = materialize(few(segments, size, TASK_BYTES).withColumn("keys", F.col("xs.keys")), "segments")
+    rarest = lambda xs: F.slice(F.array_sort(xs), F.lit(1), F.col("need").cast("int"))
     postings = (
-        segments.groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs")).transform(few, size, TASK_BYTES)
-        .select("cls", "n", (prefix - F.col("need")).alias("own"), F.posexplode(F.array_distinct(F.slice(F.array_sort("xs"), F.lit(1), F.col("need").cast("int")))).alias("i", "x"))
+        segments.withColumn("xs", rarest(F.col("xs"))).groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs")).transform(few, size, TASK_BYTES)
+        .select("cls", "n", (prefix - F.col("need")).alias("own"), F.posexplode(rarest(F.col("xs"))).alias("i", "x"))
         .select("cls", "n", F.col("x.keys").alias("key"), (F.col("own") + F.col("i")).alias("pos"))
     )
     stars = _linked(segments.select("cls", "part", "keys"), postings, size)
     if stars is None:
-        labels = classes.select("cls", "copies", F.col("first").alias("component_id"))
-    else:
-        of = classes.join(stars, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        of = materialize(few(of.select("cls", "first", "copies", "component"), size, TASK_BYTES), "classes")
-        labels = of.join(of.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("cls", "copies", "component_id")
-    out = members.join(labels, "cls", "left")
-    return out.select(
-        F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies")
+        return members, classes.select("cls", "copies", "first")
+    of = classes.join(stars, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    of = materialize(few(of.select("cls", "first", "copies", "component"), size, TASK_BYTES), "classes")
+    return members, of.drop("first").join(of.groupBy("component").agg(F.min("first").alias("first")), "component").select("cls", "copies", "first")
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of docs: doc_id, n_shingles, component_id (the smallest id in its component) and n_copies, the
+    number of rows with the same set."""
+    members, labels = _grouped(docs, doc_id, text)
+    return members.join(labels, "cls", "left").select(
+        F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("component_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies")
     )
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without those that have an earlier document (by id) in their component. Of repeated rows of one id,
-    and of rows with a null id in a component without any other, one stays, whichever comes first."""
-    groups = near_groups(docs, doc_id, text)
-    gone = groups.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("__gone")).distinct()
-    gone = materialize(gone, "gone")
-    twice = groups.groupBy(doc_id).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(doc_id)
-    kept = docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    """docs with one row of each component: the smallest id's (a null id counts as the largest), and of rows with
+    that id the one whose text has the smallest hash. Rows that are equal in id and text are one. Texts without words
+    all stay."""
+    members, labels = _grouped(docs, doc_id, text)
+    found = members.join(labels, "cls").withColumn("stays", F.col("first") == F.struct(F.col("id").isNull().alias("none"), "id", "tag"))
+    found = materialize(found.groupBy("id", "tag").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("c")).where("not stays or c > 1"), "gone")
+    found = found.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), "stays")
+    same = docs[doc_id].cast("long").eqNullSafe(found["__id"]) & (F.xxhash64(docs[text]) == found["__tag"])
+    kept = docs.join(found.where("not stays"), same, "left_anti")
+    twice = found.where("stays")
     if twice.isEmpty():
         return kept
-    twice = materialize(twice.withColumnRenamed(doc_id, "__twice"), "twice")
-    again = kept.join(twice, kept[doc_id].eqNullSafe(twice["__twice"]), "left_semi").dropDuplicates([doc_id, text])
-    return kept.join(twice, kept[doc_id].eqNullSafe(twice["__twice"]), "left_anti").unionByName(again)
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([doc_id, text]))

@@ -7,7 +7,8 @@ THRESHOLD; the result is each document's connected component.
    are joined instead of documents, so groups of exact copies cost one member.
 2. The global order of shingles is cut into fragments by hash. A fragment gets every class's shingles of that
    range, counts in how many classes each occurs, and keeps the shared ones only. There are as many fragments as the
-   texts' bytes ask for, so that each stays small.
+   texts' bytes ask for, so that each stays small. What is shared goes back to buckets of classes, many classes
+   packed in a row, as many buckets as fragments.
 3. A class of n shingles can only link with one that shares at least ceil(0.75 n) of them, so among its
    n - ceil(0.75 n) + 1 rarest shingles there is a common one. If fewer are shared at all, the class is done;
    otherwise its rarest shared ones are its postings (rare first in one global order, by all classes' counts).
@@ -109,13 +110,26 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) ->
     return out
 
 
-_CUT = "frag int, ids array<bigint>, tags array<bigint>, classes binary, counts binary, shingles binary"
+_CUT = "frag int, ids array<bigint>, tags array<bigint>, classes binary, sizes binary, counts binary, shingles binary"
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.int64 if counts.max(initial=0) > 65535 else np.uint16).tobytes()
+
+
+def _counts(packed: list[bytes], classes: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(n, np.int64 if len(n) == len(c) else np.uint16).astype(np.int64) for n, c in zip(packed, classes, strict=True)])
+
+
+def _range(values: np.ndarray, ranges: int) -> np.ndarray:
+    """Which of so many equal ranges 64-bit values lie in."""
+    return ((values.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
 
 
 def _fragment_rows(fragments: int):
     """Batches of (id, tag, text) to rows for the fragments. Rows with ids carry documents, dealt to any fragment:
-    their ids, tags, classes and set sizes; the others carry, for each class that this task meets first, its shingles
-    of the fragment."""
+    their ids, tags, classes and set sizes; the others carry, for each class that this task meets first, its set size
+    and its shingles of the fragment."""
 
     def run(batches):
         import pyarrow as pa
@@ -142,80 +156,132 @@ def _fragment_rows(fragments: int):
                         fresh.append(i)
                 turn += 1
                 ids, tags = ([batch.column(k)[part].to_pylist()] for k in (0, 1))
-                frags, kinds, counts, shingles = [turn % fragments], [classes.tobytes()], [sizes.tobytes()], [None]
+                frags, owners, totals, counts, shingles = [turn % fragments], [classes.tobytes()], [sizes.tobytes()], [None], [None]
                 if fresh:
                     values = np.concatenate([sets[i] for i in fresh])
                     owner = np.repeat(np.arange(len(fresh)), sizes[fresh])
-                    frag = ((values >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
+                    frag = _range(values, fragments)
                     order = np.argsort(frag, kind="stable")
                     there, starts = np.unique(frag[order], return_index=True)
                     raw, owner = np.ascontiguousarray(values[order].astype("<u8")), owner[order]
-                    of = classes[np.array(fresh)]
+                    of, total = classes[np.array(fresh)], sizes[np.array(fresh)]
                     for f, a, b in zip(there.tolist(), starts.tolist(), [*starts.tolist()[1:], len(raw)], strict=True):
                         new = np.flatnonzero(np.concatenate([[True], owner[a + 1 : b] != owner[a : b - 1]]))
-                        many = np.diff(np.append(new, b - a))
+                        who = owner[a:b][new]
                         frags.append(f)
-                        kinds.append(of[owner[a:b][new]].tobytes())
-                        counts.append(many.tobytes() if many.max() > 65535 else many.astype(np.uint16).tobytes())
+                        owners.append(of[who].tobytes())
+                        totals.append(total[who].astype(np.uint32).tobytes())
+                        counts.append(_packed(np.diff(np.append(new, b - a))))
                         shingles.append(raw[a:b].tobytes())
                 rest = [None] * (len(frags) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(frags, pa.int32()), *(pa.array(x + rest, pa.list_(pa.int64())) for x in (ids, tags)), *(pa.array(x, pa.binary()) for x in (kinds, counts, shingles))],
-                    names=["frag", "ids", "tags", "classes", "counts", "shingles"],
+                    [pa.array(frags, pa.int32()), *(pa.array(x + rest, pa.list_(pa.int64())) for x in (ids, tags)), *(pa.array(x, pa.binary()) for x in (owners, totals, counts, shingles))],
+                    names=["frag", "ids", "tags", "classes", "sizes", "counts", "shingles"],
                 )
         trim()
 
     return run
 
 
-_OUT = "kind int, id bigint, tag bigint, cls bigint, n bigint, part int, keys array<bigint>, ranks array<tinyint>"
+_COUNTED = "kind int, id bigint, tag bigint, cls bigint, n bigint, bucket int, part int, classes binary, sizes binary, counts binary, keys binary, ranks binary"
+
+
+def _count_fragment(buckets: int):
+    """One fragment's rows to documents (kind 0) and, for each bucket of classes, their shared shingles with the
+    logarithm of the number of classes that hold them (kind 1)."""
+
+    def run(table):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        binary = ("classes", "sizes", "counts", "keys", "ranks")
+        schema = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id", "tag", "cls", "n")), ("bucket", pa.int32()), ("part", pa.int32()), *((c, pa.binary()) for c in binary)])
+        docs, segments = table.filter(pc.is_valid(table["ids"])), table.filter(pc.is_null(table["ids"]))
+        out = []
+        if len(docs):
+            cls0, n0 = (np.frombuffer(b"".join(docs[c].to_pylist()), np.int64) for c in ("classes", "sizes"))
+            k = len(cls0)
+            ids, tags = (docs[c].combine_chunks().flatten() for c in ("ids", "tags"))
+            out.append(pa.Table.from_arrays([pa.array(np.zeros(k, np.int32)), ids, tags, pa.array(cls0, mask=n0 == 0), pa.array(n0), *(pa.nulls(k, f.type) for f in list(schema)[5:])], schema=schema))
+        if len(segments):
+            frag, owners = segments["frag"][0].as_py(), segments["classes"].to_pylist()
+            cls, counts = np.frombuffer(b"".join(owners), np.int64), _counts(segments["counts"].to_pylist(), owners)
+            sizes = np.frombuffer(b"".join(segments["sizes"].to_pylist()), np.uint32)
+            value = np.frombuffer(b"".join(segments["shingles"].to_pylist()), "<u8")
+            # In the order of buckets; of a class that other tasks have met too, once.
+            first = np.unique(cls, return_index=True)[1]
+            first = first[np.argsort(_range(cls[first], buckets), kind="stable")]
+            starts = (np.cumsum(counts) - counts)[first]
+            cls, counts, sizes = cls[first], counts[first], sizes[first]
+            ends = np.cumsum(counts)
+            value = value[np.arange(ends[-1]) + np.repeat(starts - ends + counts, counts)]
+            order = np.argsort(value, kind="stable").astype(np.uint32)
+            sorted_ = value[order]
+            runs = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+            del sorted_
+            runs = np.diff(np.append(runs, len(value))).astype(np.uint32)
+            df = np.empty(len(value), np.uint32)
+            df[order] = np.repeat(runs, runs)
+            del order
+            shared = df > 1
+            held = np.bincount(np.repeat(np.arange(len(cls)), counts)[shared], minlength=len(cls))
+            keys, ranks = value[shared], np.log2(df[shared].astype(np.float64)).astype(np.int8)
+            some = held > 0
+            cls, sizes, held = cls[some], sizes[some], held[some]
+            ends = np.concatenate([[0], np.cumsum(held)])
+            bucket, at = np.unique(_range(cls, buckets), return_index=True)
+            rows = {c: [] for c in binary}
+            for a, b in zip(at.tolist(), [*at.tolist()[1:], len(cls)], strict=True):
+                for c, x in (("classes", cls[a:b]), ("sizes", sizes[a:b]), ("keys", keys[ends[a] : ends[b]]), ("ranks", ranks[ends[a] : ends[b]])):
+                    rows[c].append(x.tobytes())
+                rows["counts"].append(_packed(held[a:b]))
+            m = len(bucket)
+            out.append(pa.Table.from_arrays([pa.array(np.ones(m, np.int32)), *(pa.nulls(m, pa.int64()),) * 4, pa.array(bucket), pa.array(np.full(m, frag % PARTS, np.int32)), *(pa.array(rows[c], pa.binary()) for c in binary)], schema=schema))
+        trim()
+        return pa.concat_tables(out)
+
+    return run
+
+
+_LISTED = "kind int, cls bigint, n bigint, part int, keys array<bigint>, key bigint, pos bigint"
 
 
-def _count_fragment(table):
-    """One fragment's rows to documents (kind 0) and each class's shared shingles with the logarithm of their
-    number of classes (kind 1)."""
+def _prefixes(table):
+    """One bucket's classes, but those that share too little to link: their shared shingles by part (kind 0) and
+    their postings (kind 1)."""
     import pyarrow as pa
-    import pyarrow.compute as pc
-
-    schema = pa.schema(
-        [("kind", pa.int32()), ("id", pa.int64()), ("tag", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int8()))]
-    )
-    docs, segments = table.filter(pc.is_valid(table["ids"])), table.filter(pc.is_null(table["ids"]))
-    parts = []
-    if len(docs):
-        cls0, n0 = (np.frombuffer(b"".join(docs[c].to_pylist()), np.int64) for c in ("classes", "counts"))
-        k = len(cls0)
-        ids, tags = (docs[c].combine_chunks().flatten() for c in ("ids", "tags"))
-        parts.append(pa.Table.from_arrays([pa.array(np.zeros(k, np.int32)), ids, tags, pa.array(cls0, mask=n0 == 0), pa.array(n0), *(pa.nulls(k, schema.field(i).type) for i in (5, 6, 7))], schema=schema))
-    if len(segments):
-        frag = segments["frag"][0].as_py()
-        cls, counts = [], []
-        for c, n in zip(segments["classes"].to_pylist(), segments["counts"].to_pylist(), strict=True):
-            cls.append(np.frombuffer(c, np.int64))
-            counts.append(np.frombuffer(n, np.int64 if len(n) == len(c) else np.uint16).astype(np.int64))
-        cls, counts = np.concatenate(cls), np.concatenate(counts)
-        value = np.frombuffer(b"".join(segments["shingles"].to_pylist()), "<u8")
-        once = np.zeros(len(cls), bool)
-        once[np.unique(cls, return_index=True)[1]] = True  # other tasks may have met the class too
-        if not once.all():
-            value, cls, counts = value[np.repeat(once, counts)], cls[once], counts[once]
-        order = np.argsort(value, kind="stable").astype(np.uint32)
-        sorted_ = value[order]
-        starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        del sorted_
-        runs = np.diff(np.append(starts, len(value))).astype(np.uint32)
-        df = np.empty(len(value), np.uint32)
-        df[order] = np.repeat(runs, runs)
-        del order
-        shared = df > 1
-        held = np.bincount(np.repeat(np.arange(len(cls)), counts)[shared], minlength=len(cls))
-        offsets = np.concatenate([[0], np.cumsum(held[held > 0])]).astype(np.int32)
-        ranks = np.log2(df[shared].astype(np.float64)).astype(np.int8)
-        m = len(offsets) - 1
-        lists = (pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (value[shared].view(np.int64), ranks))
-        parts.append(pa.Table.from_arrays([pa.array(np.ones(m, np.int32)), *(pa.nulls(m, pa.int64()),) * 2, pa.array(cls[held > 0]), pa.nulls(m, pa.int64()), pa.array(np.full(m, frag % PARTS, np.int32)), *lists], schema=schema))
+
+    schema = pa.schema([("kind", pa.int32()), ("cls", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("key", pa.int64()), ("pos", pa.int64())])
+    owners = table["classes"].to_pylist()
+    counts = _counts(table["counts"].to_pylist(), owners)
+    cls, entry = np.unique(np.frombuffer(b"".join(owners), np.int64), return_inverse=True)
+    n = np.zeros(len(cls), np.int64)
+    n[entry] = np.frombuffer(b"".join(table["sizes"].to_pylist()), np.uint32)
+    part = np.repeat(np.array(table["part"].to_pylist(), np.int32), [len(x) // 8 for x in owners])
+    held = np.bincount(entry, counts, len(cls)).astype(np.int64)
+    # need = how many of the class's shared shingles belong to its prefix; the others of the prefix are its own.
+    need = held + 1 - -(-THRESHOLD * n // 100)
+    lives = np.repeat((need > 0)[entry], counts)
+    owner, part = np.repeat(entry, counts)[lives], np.repeat(part, counts)[lives]
+    keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64)[lives]
+    ranks = np.frombuffer(b"".join(table["ranks"].to_pylist()), np.int8)[lives]
+    out = []
+    if len(keys):
+        order = np.lexsort((part, owner))
+        new = np.concatenate([[True], (owner[order][1:] != owner[order][:-1]) | (part[order][1:] != part[order][:-1])])
+        at = np.flatnonzero(new)
+        whose, m = owner[order][at], len(at)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(keys)).astype(np.int32)), pa.array(keys[order]))
+        out.append(pa.Table.from_arrays([pa.array(np.zeros(m, np.int32)), pa.array(cls[whose]), pa.array(n[whose]), pa.array(part[order][at]), lists, *(pa.nulls(m, pa.int64()),) * 2], schema=schema))
+        order = np.lexsort((keys, ranks, owner))
+        whose = owner[order]
+        first = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
+        place = np.arange(len(whose)) - np.repeat(first, np.diff(np.append(first, len(whose))))
+        rare = place < need[whose]
+        whose, place, m = whose[rare], place[rare], int(rare.sum())
+        out.append(pa.Table.from_arrays([pa.array(np.ones(m, np.int32)), pa.array(cls[whose]), pa.array(n[whose]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int64())), pa.array(keys[order][rare]), pa.array((n - held)[whose] + place)], schema=schema))
     trim()
-    return pa.concat_tables(parts)
+    return pa.concat_tables(out) if out else schema.empty_table()
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, size: int) -> DataFrame:
@@ -270,24 +336,14 @@ def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     fragments = max(8, -(-size // FRAGMENT_BYTES))
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     cut = rows.mapInArrow(_fragment_rows(fragments), _CUT)
-    counted = materialize(cut.groupBy("frag").applyInArrow(_count_fragment, _OUT), "fragments", "kind")
+    counted = materialize(cut.groupBy("frag").applyInArrow(_count_fragment(fragments), _COUNTED), "fragments", "kind")
     members = counted.where("kind = 0").select("id", "tag", "cls", "n")
     row = F.struct(F.col("id").isNull().alias("none"), "id", "tag")
-    classes = members.where("cls is not null").groupBy("cls").agg(F.min(row).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    shared = counted.where("kind = 1").select("cls", "part", F.arrays_zip("ranks", "keys").alias("xs"))
-    # need = how many of the class's shared shingles belong to its prefix; the others of the prefix are its own.
-    prefix = F.expr(f"n - cast(ceil({THRESHOLD} * n / 100) as bigint) + 1")
-    held = shared.groupBy("cls").agg(F.sum(F.size("xs")).alias("held"))
-    need = held.join(classes.select("cls", "n"), "cls").withColumn("need", prefix - F.col("n") + F.col("held")).where("need > 0").select("cls", "n", "need")
-    segments = shared.join(need, "cls").groupBy("cls", "n", "need", "part").agg(F.flatten(F.collect_list("xs")).alias("xs"))
-    segments = materialize(few(segments, size, TASK_BYTES).withColumn("keys", F.col("xs.keys")), "segments")
-    rarest = lambda xs: F.slice(F.array_sort(xs), F.lit(1), F.col("need").cast("int"))
-    postings = (
-        segments.withColumn("xs", rarest(F.col("xs"))).groupBy("cls", "n", "need").agg(F.flatten(F.collect_list("xs")).alias("xs")).transform(few, size, TASK_BYTES)
-        .select("cls", "n", (prefix - F.col("need")).alias("own"), F.posexplode(rarest(F.col("xs"))).alias("i", "x"))
-        .select("cls", "n", F.col("x.keys").alias("key"), (F.col("own") + F.col("i")).alias("pos"))
-    )
-    stars = _linked(segments.select("cls", "part", "keys"), postings, size)
+    classes = members.where("cls is not null").groupBy("cls").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("copies"))
+    packed = counted.where("kind = 1").select("bucket", "part", "classes", "sizes", "counts", "keys", "ranks")
+    listed = materialize(packed.groupBy("bucket").applyInArrow(_prefixes, _LISTED), "listed", "kind")
+    segments, postings = listed.where("kind = 0").select("cls", "part", "keys"), listed.where("kind = 1").select("cls", "n", "key", "pos")
+    stars = _linked(segments, postings, size)
     if stars is None:
         return members, classes.select("cls", "copies", "first")
     of = classes.join(stars, "cls", "left").withColumn("component", F.coalesce("component", "cls"))

@@ -1,19 +1,23 @@
 """BPE encoding and decoding with tree concatenation.
 
-A text is cut where its pre-tokenization surely ends: before a space between two characters that are not white
-space, and around special tokens. Pieces so cut are encoded on their own and the ids joined, which is exactly the
-encoding of the whole. Frequent pieces come from a memo; new ones are encoded together, in one call.
+A text is cut where its pre-tokenization surely ends: before a space or a line feed between two characters that are
+not white space (a line feed there is a token of its own), between a letter or digit and the ASCII punctuation that
+ends a piece, and around special tokens. Pieces so cut are encoded on their own and the ids joined, which is exactly
+the encoding of the whole. Arrow cuts a batch's texts and finds the distinct pieces; only those are encoded, if
+they are not in a memo of two generations (what is not met again goes), and their ids are dealt to all places at once.
 
 A piece that stays long has no such place (an address, a hash, a script written without spaces). Its
-pre-tokens are found first, and each long one is halved down to LEAF bytes; all leaves are encoded in one batch
-(the library's threads work on it in parallel), and the halves are put together level by level. At each join
+pre-tokens are found first, and each long one is halved down to LEAF bytes; all leaves are encoded in one call of the
+library, which deals them to its threads, and the halves are put together level by level. At each join
 a window around it is re-encoded from its bytes; it grows until its first token is the left side's token at
 that place and its last token the right side's. A BPE sequence is the encoding of its text if and only if each
-neighbouring pair of tokens is, so such an agreement makes the whole exact, whatever the cut.
+neighbouring pair of tokens is, so such an agreement makes the whole exact, whatever the cut. Ordinary prose never
+gets there: only pre-tokens over a quarter of LEAF characters do.
 
 Defined cases: null text is the empty text with no ids; a special token's string in a text is that token;
-any characters round-trip, as the alphabet has all bytes; repeated rows are encoded again each; extra columns
-pass through; an empty table gives an empty result.
+any characters round-trip, as the alphabet has all bytes; a text of any length is encoded whole; repeated rows are
+encoded again each; extra columns pass through, but columns that are added replace columns of their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,19 +25,20 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import ship
+from .common import ship, trim
 
 #: Bytes of a leaf, and pieces longer than this are long.
 LEAF = 2048
-#: Entries of a worker's memo; what is learned beyond that is forgotten after its batch.
-MEMO = 250_000
-_TAIL = ".,;:!?"
+#: Entries of each generation of a worker's memo.
+MEMO = 120_000
+#: Bytes of text encoded at once.
+BATCH = 8 << 20
+_TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -44,6 +49,27 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Memo(dict):
+    """A dict in two generations: when it has many entries, they become old ones; old ones that are met come back,
+    the others go with the next turn."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def unknown(self, keys: set[str]) -> set[str]:
+        """Brings in the old entries of keys; those of keys that are in neither generation."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        new = keys.difference(self)
+        if old := self.old:
+            back = [k for k in new if k in old]
+            self.update(zip(back, map(old.__getitem__, back), strict=True))
+            new.difference_update(back)
+        return new
+
+
 class Codec:
     """Encodes and decodes as the tokenizers library does with one byte-level BPE file."""
 
@@ -55,7 +81,7 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.leaf, self.limit = leaf, memo
+        self.leaf = leaf
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         alphabet = byte_alphabet()
@@ -69,14 +95,14 @@ class Codec:
             self.bytes[i] = token.encode()
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.pre = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-        self.memo: dict[str, bytes] = {}
-        self.passing: list[str] = []
+        self.raw = Tokenizer(self.tokenizer.model)  # without pre-tokens
+        self.memo = Memo(memo)
 
     # Long pre-tokens: bytes in, ids out.
 
     def _leaves(self, parts: list[bytes]) -> list[list[int]]:
-        chars = ["".join(self.to_char[b] for b in p) for p in parts]
-        return [[t.id for t in self.tokenizer.model.tokenize(c)] for c in chars]
+        chars = ["".join([self.to_char[b] for b in p]) for p in parts]
+        return [e.ids for e in self.raw.encode_batch(chars, add_special_tokens=False)]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the text of left followed by that of right."""
@@ -118,89 +144,127 @@ class Codec:
     def _together(self, pre_tokens: list[str]) -> list[int]:
         return [t.id for p in pre_tokens for t in self.tokenizer.model.tokenize("".join(self.to_char[b] for b in p.encode()))]
 
-    # Pieces between safe cuts.
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Puts pieces, each to follow a space, into the memo. One call encodes all that are short."""
-        if len(self.memo) > self.limit:
-            self.passing += pieces
-        short: list[str] = []
-        tails: list[tuple[str, str]] = []
-        for p in pieces:
-            core = p.rstrip(_TAIL)
-            if len(p) > self.leaf // 4:
-                self.memo[p] = self._long(" " + p)
-            elif core != p and core and core[-1].isalnum():
-                tails.append((p, core))
-            else:
-                short.append(p)
-        short += {core for _, core in tails if core not in self.memo} - set(short)
-        tokenize, space, rest = self.tokenizer.model.tokenize, self.to_char[32], []
-        for p in short:
-            if p.isalpha():  # letters alone are one pre-token
-                chars = p if p.isascii() else "".join([self.to_char[b] for b in p.encode()])
-                self.memo[p] = struct.pack(f"<{len(t := tokenize(space + chars))}I", *[x.id for x in t])
-            else:
-                rest.append(p)
-        self._learn_short(rest)
-        ends = {p[len(core) :] for p, core in tails}
-        after = dict(zip(ends, (e.ids for e in self.tokenizer.encode_batch(list(ends), add_special_tokens=False)), strict=True)) if ends else {}
-        for p, core in tails:
-            self.memo[p] = self.memo[core] + np.array(after[p[len(core) :]], "<u4").tobytes()
-
-    def _learn_short(self, short: list[str]) -> None:
-        for at in range(0, len(short), 5000):
-            part = short[at : at + 5000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum([1 + len(p.encode()) for p in part])
-            stops = 1 + np.searchsorted(np.cumsum(self.lengths[ids]), ends)
+    # Pieces between safe cuts: they follow a space, or begin with the line feed that they follow.
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, with their space or line feed."""
+        memo, long = self.memo, self.leaf // 4
+        new = list(memo.unknown(set(pieces)))
+        if any(len(p) > long for p in new):
+            memo.update((p, self._long(p if p[0] == "\n" else " " + p)) for p in new if len(p) > long)
+            new = [p for p in new if len(p) <= long]
+        # Some hundreds a text: the library's cost is the same, and its threads share them.
+        runs = [new[i : i + 500] for i in range(0, len(new), 500)]
+        texts = [(" " + " ".join(r)).replace(" \n", "\n") for r in runs]
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(p.encode()) + (p[0] != "\n") for p in run])
+            stops = 4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 4
             raw, a = ids.tobytes(), 0
-            for p, b in zip(part, stops.tolist(), strict=True):
-                self.memo[p] = raw[4 * a : 4 * b]
+            for p, b in zip(run, stops.tolist(), strict=True):
+                memo[p] = raw[a:b]
                 a = b
+        return list(map(memo.__getitem__, pieces))
+
+    def _places(self, texts):
+        """The distinct pieces of texts, and what each is made of: pieces and tails to encode, which two of them make
+        each distinct piece, which pieces no safe cut makes, the piece at each place, and where each text's begin."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        at = lists.offsets.to_numpy().astype(np.int64)
+        found = lists.flatten().dictionary_encode()
+        whole, flags = found.dictionary, lambda x: x.to_numpy(zero_copy_only=False).astype(bool)
+        first, second, last = pc.utf8_slice_codeunits(whole, 0, 1), pc.utf8_slice_codeunits(whole, 1, 2), pc.utf8_slice_codeunits(whole, -1)
+        blank = lambda x: flags(pc.utf8_is_space(x)) | flags(pc.equal(x, ""))
+        odd = blank(last) | blank(first) & ~(flags(pc.equal(first, "\n")) & ~blank(second))
+        # A letter or digit before the closing punctuation: it is encoded apart from it, else the piece is whole.
+        trimmed = pc.utf8_rtrim(whole, characters=_TAIL)
+        trimmed = pc.if_else(pc.utf8_is_alnum(pc.utf8_slice_codeunits(trimmed, -1)), trimmed, whole)
+        core = pc.if_else(pa.array(odd), "", trimmed).dictionary_encode()
+        # The punctuation itself, from the pieces' last bytes.
+        size = pc.binary_length(whole).to_numpy() - pc.binary_length(trimmed).to_numpy()
+        stops = np.frombuffer(whole.buffers()[1], np.int32)[1 + whole.offset : 1 + whole.offset + len(whole)]
+        ends = np.cumsum(size)
+        chars = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[np.repeat(stops - ends, size) + np.arange(ends[-1] if len(ends) else 0)]
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        tail = pa.StringArray.from_buffers(len(whole), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(chars))).dictionary_encode()
+        names = lambda x: x.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return names(core), names(tail), core.indices.to_numpy(), tail.indices.to_numpy(), odd, whole, found.indices.to_numpy(), at
+
+    def encode_column(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an Arrow column's texts, end to end, and where each text's begin and end."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts, n = pc.fill_null(texts, "").cast(pa.string()), len(texts)
+        cores, tails, core_of, tail_of, odd, whole, place, at = self._places(texts)
+        # A text's beginning is encoded as it is. Texts with odd pieces or special tokens are cut with care.
+        heads = whole.take(pa.array(place[at[:-1]])).to_numpy(zero_copy_only=False).tolist()
+        strange = odd[place]
+        strange[at[:-1]] = np.array([h[-1:].strip() == "" for h in heads], bool) & (np.diff(at) > 1)
+        careful = np.zeros(n, bool)
+        careful[np.repeat(np.arange(n), np.diff(at))[strange]] = True
+        for s in self.special:
+            careful |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        units = [b"", *self._known([c for c in cores if c])]
+        core_at = np.zeros(len(cores), np.int32)
+        core_at[[i for i, c in enumerate(cores) if c]] = np.arange(1, len(units))
+        tail_at = len(units) + np.arange(len(tails), dtype=np.int32)
+        units += [self._start(t) for t in tails]
+        head_at = len(units) + np.arange(n, dtype=np.int32)
+        slow = iter(texts.filter(pa.array(careful)).to_pylist())
+        units += [self._careful(next(slow)) if c else self._start(h) for h, c in zip(heads, careful.tolist(), strict=True)]
+        # Each piece is two units; those of all places are laid end to end.
+        spots = np.empty((len(place), 2), np.int32)
+        spots[:, 0], spots[:, 1] = core_at[core_of][place], tail_at[tail_of][place]
+        spots[np.repeat(careful, np.diff(at))] = 0
+        spots[at[:-1], 0], spots[at[:-1], 1] = head_at, 0
+        spots = spots.ravel()
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        ends, held = np.cumsum(sizes), sizes[spots]
+        stops = np.cumsum(held)
+        kind = np.int32 if max(ends[-1], stops[-1] if len(stops) else 0) < 1 << 30 else np.int64
+        begin = np.repeat((ends[spots] - stops).astype(kind), held)
+        begin += np.arange(len(begin), dtype=kind)
+        return np.frombuffer(b"".join(units), "<u4")[begin], np.concatenate([[0], stops[2 * at[1:] - 1]])
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        for p in self.passing:
-            self.memo.pop(p, None)
-        self.passing = []
-        cut: list[list[str | int]] = []
-        new: set[str] = set()
-        for t in texts:
-            parts: list[str | int] = [t or ""]
-            if self.split and any(s in parts[0] for s in self.special):
-                parts = [self.special.get(p, p) for p in self.split.split(parts[0])]
-            cut.append(parts)
-            for p in parts:
-                if isinstance(p, str):
-                    new.update(p.split(" ")[1:])
-        new = {p for p in new if p not in self.memo and p and not p[0].isspace() and not p[-1].isspace()}
-        if new:
-            self._learn(new)
-        return [b"".join(np.uint32(p).tobytes() if isinstance(p, int) else self._encode(p) for p in parts) for parts in cut]
-
-    def _encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        memo = self.memo
-        if first and not first[-1].isspace():
-            try:
-                return self._start(first) + b"".join([memo[p] for p in rest])
-            except KeyError:  # white space beside a space: cut with care
-                pass
-        first, *rest = _SAFE.split(text)
-        self._learn({p for p in rest if p not in memo and not any(c.isspace() for c in p)})
-        return self._start(first) + b"".join([memo[p] if p in memo else self._start(" " + p) for p in rest])
+        import pyarrow as pa
+
+        if not texts:
+            return []
+        ids, offsets = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets.tolist(), offsets.tolist()[1:], strict=False)]
+
+    def _careful(self, text: str) -> bytes:
+        out = []
+        for p in self.split.split(text) if self.split else [text]:
+            if p in self.special:
+                out.append(np.uint32(self.special[p]).tobytes())
+            elif p:
+                first, *rest = _SAFE.split(p)
+                out.append(self._start(first))
+                at = [i for i, x in enumerate(rest) if any(c.isspace() for c in x)]
+                for a, b in zip([-1, *at], [*at, len(rest)], strict=True):
+                    if some := rest[a + 1 : b]:
+                        ids = dict(zip(distinct := list(dict.fromkeys(some)), self._known(distinct), strict=True))
+                        out += [ids[x] for x in some]
+                    if b < len(rest):
+                        out.append(self._start(" " + rest[b]))
+        return b"".join(out)
 
     def _start(self, piece: str) -> bytes:
+        if not piece:
+            return b""
         if len(piece) > self.leaf // 4:
             return self._long(piece)
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def decode(self, ids: bytes) -> str:
-        table = self.bytes
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
 _codecs: dict[str, Codec] = {}
@@ -238,22 +302,21 @@ def digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return _mapped(docs, path, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", _digests)
 
 
-def _ids(c: Codec, encoded: list[bytes]):
+def _ids(c: Codec, ids: np.ndarray, offsets: np.ndarray):
     import pyarrow as pa
 
-    offsets = np.cumsum([0] + [len(e) // 4 for e in encoded]).astype(np.int32)
-    return {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))}
+    return {"ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))}
 
 
-def _digests(c: Codec, encoded: list[bytes]):
+def _digests(c: Codec, ids: np.ndarray, offsets: np.ndarray):
     import pyarrow as pa
 
     numbers = [str(i) for i in range(len(c.bytes))]
-    lists = [np.frombuffer(e, "<u4").tolist() for e in encoded]
+    spans = list(zip(offsets.tolist(), offsets.tolist()[1:], strict=False))
     return {
-        "n_tokens": pa.array([len(x) for x in lists], pa.int64()),
-        "ids_sha256": pa.array([hashlib.sha256(",".join([numbers[i] for i in x]).encode()).hexdigest() for x in lists]),
-        "decoded_sha256": pa.array([hashlib.sha256(c.decode(e).encode()).hexdigest() for e in encoded]),
+        "n_tokens": pa.array(np.diff(offsets)),
+        "ids_sha256": pa.array([hashlib.sha256(",".join([numbers[i] for i in ids[a:b].tolist()]).encode()).hexdigest() for a, b in spans], pa.string()),
+        "decoded_sha256": pa.array([hashlib.sha256(c.decode(ids[a:b]).encode()).hexdigest() for a, b in spans], pa.string()),
     }
 
 
@@ -271,9 +334,10 @@ def _mapped(docs: DataFrame, path: str, text: str, added: str, make) -> DataFram
         c = codec(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            for s in slices(column):
+            for s in slices(column, BATCH):
                 part = batch.slice(s.start, s.stop - s.start)
-                new = make(c, c.encode_batch(column[s].to_pylist()))
+                new = make(c, *c.encode_column(column[s]))
                 yield pa.RecordBatch.from_arrays([*part.columns, *(new[n] for n in extra.names)], names=[*part.schema.names, *extra.names])
+        trim()
 
     return docs.mapInArrow(run, schema)

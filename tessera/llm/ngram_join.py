@@ -231,7 +231,7 @@ def _count_fragment(buckets: int):
             ends = np.concatenate([[0], np.cumsum(held)])
             bucket, at = np.unique(_range(cls, buckets), return_index=True)
             rows = {c: [] for c in binary}
-            for a, b in zip(at.tolist(), [*at.tolist()[1:], len(cls)], strict=True):
+            for a, b in zip(at.tolist(), [*at.tolist()[1:], len(cls)], strict=False):
                 for c, x in (("classes", cls[a:b]), ("sizes", sizes[a:b]), ("keys", keys[ends[a] : ends[b]]), ("ranks", ranks[ends[a] : ends[b]])):
                     rows[c].append(x.tobytes())
                 rows["counts"].append(_packed(held[a:b]))

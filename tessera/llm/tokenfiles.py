@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import codec, slices
-from .common import ship
+from .bpe import BATCH, codec, slices
+from .common import ship, trim
 
 END = 2
 #: Bytes of a row group and of a page before compression: pages hold some dozens of documents.
@@ -36,15 +36,17 @@ def tokenized(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "t
         import numpy as np
         import pyarrow as pa
 
-        c, tail = codec(path), np.uint32(end).tobytes()
+        c = codec(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            for s in slices(column):
-                encoded = [e + tail for e in c.encode_batch(column[s].to_pylist())]
-                lengths = np.array([len(e) // 4 for e in encoded], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+            for s in slices(column, BATCH):
+                ids, offsets = c.encode_column(column[s])
+                ids = np.insert(ids, offsets[1:], np.uint32(end))
+                offsets += np.arange(len(offsets))
+                lengths = np.diff(offsets)
+                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(k))[s] for k in kept), pa.array(lengths), ids], names=schema.names)
+        trim()
 
     return docs.select(*kept, text).mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ from .common import ship, trim
 #: Bytes of a leaf, and pieces longer than this are long.
 LEAF = 2048
 #: Entries of each generation of a worker's memo.
-MEMO = 120_000
+MEMO = 200_000
 #: Bytes of text encoded at once.
 BATCH = 8 << 20
 _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -148,22 +148,24 @@ class Codec:
 
     def _known(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces, with their space or line feed."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         memo, long = self.memo, self.leaf // 4
         new = list(memo.unknown(set(pieces)))
-        if any(len(p) > long for p in new):
+        if new and max(map(len, new)) > long:
             memo.update((p, self._long(p if p[0] == "\n" else " " + p)) for p in new if len(p) > long)
             new = [p for p in new if len(p) <= long]
         # Some hundreds a text: the library's cost is the same, and its threads share them.
         runs = [new[i : i + 500] for i in range(0, len(new), 500)]
         texts = [(" " + " ".join(r)).replace(" \n", "\n") for r in runs]
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        names = pa.array(new, pa.string())
+        long = pc.binary_length(names).to_numpy() + ~pc.starts_with(names, "\n").to_numpy(zero_copy_only=False)
+        for i, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(p.encode()) + (p[0] != "\n") for p in run])
-            stops = 4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 4
-            raw, a = ids.tobytes(), 0
-            for p, b in zip(run, stops.tolist(), strict=True):
-                memo[p] = raw[a:b]
-                a = b
+            stops = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(long[500 * i : 500 * i + 500])) + 4).tolist()
+            raw = ids.tobytes()
+            memo.update(zip(runs[i], [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
         return list(map(memo.__getitem__, pieces))
 
     def _places(self, texts):

@@ -26,6 +26,14 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK), "")
 
 
+def unused(df: DataFrame, base: str) -> str:
+    """A column name that df does not have."""
+    taken, name = {c.lower() for c in df.columns}, f"__{base}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def uniform(key: Column, seed: str) -> Column:
     """A number in [0, 1) that depends on seed and key alone: the first 52 bits of an md5."""
     head = F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary")), 1, 13)

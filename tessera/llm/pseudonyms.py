@@ -2,23 +2,29 @@
 
 Validated values are found and replaced by keyed permutations of themselves within their format:
 
-- card numbers (13 to 19 digits that pass the Luhn check): all digits but the last are permuted, the last is made
-  the check digit again;
+- card numbers (13 to 19 digits in one to 19 groups that pass the Luhn check; from each place the longest such row of
+  groups counts, whatever digits stand beside it): all digits but the last are permuted, the last is made the check
+  digit again;
 - dates (calendar days, four-digit years): permuted among the days of their century;
-- IPv4 addresses: four numbers below 256;
+- IPv4 addresses: four numbers below 256; a number with leading zeros gets leading zeros, three digits in all;
 - social security numbers: area, group and serial numbers within the ranges in use;
-- telephone numbers: digits after the country code, separators stay;
-- e-mail addresses: ASCII letters and digits of the local part and of the first label after the @, each within
-  its kind. The rest of the domain stays; other letters stay.
+- telephone numbers, with + and country code or in the forms (999) 999-9999, 999-999-9999 and 999.999.9999 (country
+  code 1): digits after the country code, separators stay;
+- e-mail addresses (local part of 64 characters at most): ASCII letters and digits of the local part and of the first
+  label after the @, each within its kind. The rest of the domain stays; other letters stay.
 
 The permutation is a Feistel network: a value is a row of numbers with a radix each, cut in two halves; in each
 of ROUNDS rounds the numbers of one half move, modulo their radix, by a keyed hash of the other half. That is a
 bijection whatever the hash gives, so different values keep different pseudonyms, and equal values have equal ones
 in all documents and separators. The same network runs backwards for who holds the key.
 
+Every pattern begins where its first character can begin a value and is of bounded length, so a text takes time in
+proportion to its length, unbroken or not.
+
 Defined cases: null texts stay null; numbers that fail their check stay; overlapping candidates go to the one that
-starts first; repeated rows get equal results; an empty table gives an empty result; n_found replaces a column
-of that name.
+starts first, card numbers are sought in what the others leave; very long texts are treated whole; repeated rows get
+equal results; other columns pass through, but n_found replaces a column of that name; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -26,19 +32,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, unused
 
 ROUNDS = 8
-KEY = "example key: give your own"
 
-_EMAIL = r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+\.[A-Za-z0-9][A-Za-z0-9.-]{0,190}(?<![.])"
 _DATE = r"(?<![\p{N}./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![\p{N}/-]|\.[0-9])"
 _IP = r"(?<![\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{N}]|\.[0-9])"
 _SSN = r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}]|-[0-9])"
-_PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\p{N}])|(?<![\p{N}])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![\p{N}])"
-_CARD = r"(?<![\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{N}])"
-KINDS = {"email": _EMAIL, "date": _DATE, "ip": _IP, "ssn": _SSN, "phone": _PHONE, "card": _CARD}
-ANY = "|".join(KINDS.values())
+_PHONE = (
+    r"(?<![\p{N}+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\p{N}])|(?<![\p{N}])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![\p{N}]|-[0-9])"
+    r"|(?<![\p{N}.-])[0-9]{3}([-.])[0-9]{3}\1[0-9]{4}(?![\p{N}]|[.-][0-9])"
+)
+#: In the order in which they are tried at a place; a value begins with a digit, + or ( unless it is an address.
+KINDS = {"date": _DATE, "ip": _IP, "ssn": _SSN, "phone": _PHONE}
+_NUMBERS = "(?=[0-9+(])(?:" + "|".join(KINDS.values()) + ")"
+_ANY = _EMAIL + "|" + _NUMBERS
+#: Digits, with single spaces or hyphens between their groups (more of them end a row of groups).
+_RUN = r"(?<![\p{N}+])[0-9][0-9 -]*+(?!\p{N})"
+_LONG_RUN = "[0-9](?:[ -]?[0-9]){12}"
+#: Stands around what is found while a text is cut.
+_MARK = ""
+
+# The country codes of one and of two digits; all others have three.
+CODES = {1: "1 7".split(), 2: "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 
 
 def _draw(key: str, kind: str, turn: Column, i: Column, other: Column) -> Column:
@@ -149,7 +166,9 @@ def _date(m: Column, key: str) -> Column:
 def _ip(m: Column, key: str) -> Column:
     def of(n: Column) -> Column:
         same = F.transform(n, lambda x: F.lit(256).cast("long"))
-        return F.when(F.exists(n, lambda x: x > 255), m).otherwise(F.array_join(_strings(feistel(n, same, key, "ip")), "."))
+        padded = F.transform(F.split(m, r"\."), lambda x: x.rlike("^0[0-9]"))
+        form = lambda x, i: F.when(F.get(padded, i), F.lpad(x.cast("string"), 3, "0")).otherwise(x.cast("string"))
+        return F.when(F.exists(n, lambda x: x > 255), m).otherwise(let(feistel(n, same, key, "ip"), lambda v: F.array_join(F.transform(v, form), ".")))
 
     return let(F.transform(F.split(m, r"\."), lambda x: x.cast("bigint")), of)
 
@@ -167,9 +186,17 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    head = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    rest = F.substr(m, F.length(head) + 1)
-    return let(_numbers(_digits(rest)), lambda n: F.concat(head, _refill(rest, _strings(feistel(n, _tens(n), key, "phone")), "[0-9]")))
+    """The digits after the country code are permuted, whatever stands between them; 8 to 15 digits make a number."""
+    digits = F.when(m.startswith("+"), _digits(m)).otherwise(F.concat(F.lit("1"), _digits(m)))
+    code = lambda d: F.when(F.substring(d, 1, 1).isin(CODES[1]), 1).when(F.substring(d, 1, 2).isin(CODES[2]), 2).otherwise(3)
+
+    def of(d: Column) -> Column:
+        own = _numbers(F.substr(d, code(d) + 1))
+        kept = F.when(m.startswith("+"), F.split(F.substring(d, F.lit(1), code(d)), "")).otherwise(F.array().cast("array<string>"))
+        put = lambda v: _refill(m, F.concat(kept, _strings(v)), "[0-9]")
+        return F.when(F.length(d).between(8, 15), let(feistel(own, _tens(own), key, "phone"), put)).otherwise(m)
+
+    return let(digits, of)
 
 
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
@@ -196,24 +223,84 @@ def _email(m: Column, key: str) -> Column:
 def replaced(m: Column, key: str) -> Column:
     """The pseudonym of one match, or the match itself if it is no valid value."""
     whole = lambda k: m.rlike(f"^(?:{KINDS[k]})$")
-    return (
-        F.when(m.contains("@"), _email(m, key))
-        .when(whole("date"), _date(m, key))
-        .when(whole("ip"), _ip(m, key))
-        .when(whole("ssn"), _ssn(m, key))
-        .when(m.rlike(r"^[+(]"), _phone(m, key))
-        .otherwise(_card(m, key))
-    )
+    return F.when(m.contains("@"), _email(m, key)).when(whole("date"), _date(m, key)).when(whole("ip"), _ip(m, key)).when(whole("ssn"), _ssn(m, key)).otherwise(_phone(m, key))
+
+
+def _in_run(run: Column, key: str) -> Column:
+    """A run of digit groups with its cards replaced: t, and n, the number of cards."""
+
+    def of(x: Column) -> Column:
+        groups, seps = x["g"], x["s"]
+        n = F.size(groups)
+        places = F.sequence(F.lit(0), n - 1)
+
+        def valid(i: Column, j: Column) -> Column:
+            single = F.forall(F.slice(seps, i + 2, j - i), lambda s: F.length(s) == 1)
+            luhn = lambda d: F.length(d).between(13, 19) & d.rlike("[1-9]") & (luhn_sum(_numbers(d)) % 10 == 0)
+            return single & let(F.array_join(F.slice(groups, i + 1, j - i + 1), ""), luhn)
+
+        def last(i: Column) -> Column:
+            some = F.filter(F.sequence(i, F.least(i + 18, n - 1)), lambda j: valid(i, j))
+            return F.when(F.length(F.get(groups, i)) <= 19, F.array_max(some))
+
+        def pick(state: Column, i: Column) -> Column:
+            end = F.get(x["ends"], i)
+            hit = (i >= state["free"]) & end.isNotNull()
+            at = F.concat(state["at"], F.array(F.struct(i.alias("i"), end.alias("j"))))
+            return F.struct(F.when(hit, end + 1).otherwise(state["free"]).alias("free"), F.when(hit, at).otherwise(state["at"]).alias("at"))
 
+        def put(picks: Column) -> Column:
+            def part(k: Column) -> Column:
+                mine = F.get(F.filter(picks, lambda p: p["i"] == k), F.lit(0))
+                inside = F.exists(picks, lambda p: (p["i"] < k) & (k <= p["j"]))
+                before = lambda j: F.concat(F.array(F.lit("")), F.slice(seps, k + 2, j - k))
+                card = lambda j: F.array_join(F.zip_with(before(j), F.slice(groups, k + 1, j - k + 1), lambda s, g: F.concat(s, g)), "")
+                own = F.when(mine.isNull(), F.get(groups, k)).otherwise(let(card(mine["j"]), lambda c: _card(c, key)))
+                return F.when(inside, "").otherwise(F.concat(F.get(seps, k), own))
 
-def pseudonymize(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """docs with pseudonyms in text, and n_found, the number of values replaced."""
+            return F.struct(F.concat(F.array_join(F.transform(places, part), ""), F.get(seps, n)).alias("t"), F.size(picks).cast("long").alias("n"))
+
+        if "ends" not in made:
+            made.append("ends")
+            return let(F.transform(places, last), lambda ends: of(F.struct(groups.alias("g"), seps.alias("s"), ends.alias("ends"))))
+        start = F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<i:int,j:int>>").alias("at"))
+        none = F.struct(run.alias("t"), F.lit(0).cast("long").alias("n"))
+        return F.when(F.forall(x["ends"], lambda e: e.isNull()), none).otherwise(let(F.aggregate(places, start, pick, lambda st: st["at"]), put))
+
+    made: list[str] = []
+    return let(F.struct(F.regexp_extract_all(run, F.lit("[0-9]+"), F.lit(0)).alias("g"), F.split(run, "[0-9]+", -1).alias("s")), of)
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """What stands between the matches of a pattern and, at odd places, the matches."""
+    marked = F.split(F.regexp_replace(text, f"(?:{pattern})", f"{_MARK}$0{_MARK}"), _MARK, -1)
+    # A text that holds the mark itself is scanned twice.
+    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    woven = F.flatten(F.zip_with(gaps, found, lambda g, m: F.when(m.isNull(), F.array(g)).otherwise(F.array(g, m))))
+    return F.when(text.contains(_MARK), woven).otherwise(marked)
+
+
+def _cards(text: Column, key: str) -> Column:
+    """A text without other numbers, with its cards replaced: t and n."""
+    none = F.struct(text.alias("t"), F.lit(0).cast("long").alias("n"))
+    odd = lambda x, i: F.when((i % 2 == 1) & x.rlike(_LONG_RUN), _in_run(x, key)).otherwise(F.struct(x.alias("t"), F.lit(0).cast("long").alias("n")))
+    return F.when(text.rlike(_LONG_RUN), let(F.transform(_cut(text, _RUN), odd), _joined)).otherwise(none)
+
+
+def _joined(parts: Column) -> Column:
+    return F.struct(F.array_join(F.transform(parts, lambda p: p["t"]), "").alias("t"), F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n + p["n"]).alias("n"))
+
+
+def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """docs with pseudonyms in text, and n_found, the number of values replaced. Who holds the key can undo them."""
     t = F.col(text)
-    found = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
-    new = F.transform(found, lambda m: replaced(m, key))
-    gaps = F.split(t, ANY, -1)
-    whole = lambda n: F.concat(F.get(gaps, F.lit(0)), F.array_join(F.zip_with(n, F.slice(gaps, F.lit(2), F.size(gaps)), lambda x, g: F.concat(x, g)), ""))
-    changed = lambda n: F.aggregate(F.zip_with(n, found, lambda x, m: F.when(x == m, F.lit(0)).otherwise(F.lit(1))), F.lit(0).cast("long"), lambda a, x: a + x)
-    both = F.when(t.rlike(ANY), let(new, lambda n: F.struct(whole(n).alias("t"), changed(n).alias("n"))))
-    out = docs.withColumn("__p", both)
-    return out.withColumns({text: F.coalesce("__p.t", t), "n_found": F.coalesce("__p.n", F.lit(0)).cast("long")}).drop("__p")
+
+    def part(x: Column, i: Column) -> Column:
+        value = let(replaced(x, key), lambda v: F.struct(v.alias("t"), F.when(v == x, 0).otherwise(1).cast("long").alias("n")))
+        return F.when(i % 2 == 1, value).otherwise(_cards(x, key))
+
+    cut = F.when(t.contains("@"), _cut(t, _ANY)).otherwise(_cut(t, _NUMBERS))
+    both = F.when(t.rlike("[0-9@]"), let(F.transform(cut, part), _joined))
+    own = unused(docs, "found")
+    out = docs.withColumn(own, both)
+    return out.withColumns({text: F.coalesce(F.col(own)["t"], t), "n_found": F.coalesce(F.col(own)["n"], F.lit(0)).cast("long")}).drop(own)

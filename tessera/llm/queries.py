@@ -11,6 +11,8 @@ from .common import shared_path, table
 from .sql import LINES_SQL, RULES_SQL, mix_sql
 
 VOCABULARY = "byte_bpe_50k.json"
+#: Public, as the tables are made up; real texts need a secret one.
+PSEUDONYM_KEY = "key of the test tables"
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +21,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonyms.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

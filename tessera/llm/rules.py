@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, let, words
+from .common import BLANK, let, unused, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_dup_lines", "n_lines", "n_repeat_words")
 
@@ -105,16 +105,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.size(a).cast("long").alias("n_lines"), (F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"))
 
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.btrim(x, F.lit("\t\n\x0b\x0c\r "))) > 0)
+    w, r = unused(docs, "words"), unused(docs, "lines")
     out = docs.withColumns(
         {
-            "__w": let(words(F.col(text)), of_words),
-            "__l": let(lines, of_lines),
+            w: let(words(F.col(text)), of_words),
+            r: let(lines, of_lines),
             "word_chars": F.length(F.regexp_replace(t, BLANK, "")).cast("long"),
             "n_symbols": F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long"),
             "n_exclaims": F.regexp_count(t, F.lit("!")).cast("long"),
         }
     )
-    return out.withColumns({n: F.col(f"__w.{n}") for n in ("n_words", "n_repeat_words")} | {n: F.col(f"__l.{n}") for n in ("n_lines", "n_dup_lines")}).drop("__w", "__l")
+    return out.withColumns({n: F.col(w)[n] for n in ("n_words", "n_repeat_words")} | {n: F.col(r)[n] for n in ("n_lines", "n_dup_lines")}).drop(w, r)
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:

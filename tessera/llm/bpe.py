@@ -3,8 +3,8 @@
 A text is cut where its pre-tokenization surely ends: before a space or a line feed between two characters that are
 not white space (a line feed there is a token of its own), between a letter or digit and the ASCII punctuation that
 ends a piece, and around special tokens. Pieces so cut are encoded on their own and the ids joined, which is exactly
-the encoding of the whole. Arrow cuts a batch's texts and finds the distinct pieces; only those are encoded, if
-they are not in a memo of two generations (what is not met again goes), and their ids are dealt to all places at once.
+the encoding of the whole. Arrow cuts a batch's texts and finds the distinct pieces; only those are encoded, and
+their ids are dealt to all places at once. Nothing is kept from batch to batch.
 
 A piece that stays long has no such place (an address, a hash, a script written without spaces). Its
 pre-tokens are found first, and each long one is halved down to LEAF bytes; all leaves are encoded in one call of the
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -34,10 +35,10 @@ from .common import ship, trim
 
 #: Bytes of a leaf, and pieces longer than this are long.
 LEAF = 2048
-#: Entries of each generation of a worker's memo.
-MEMO = 200_000
 #: Bytes of text encoded at once.
-BATCH = 8 << 20
+BATCH = 6 << 20
+#: Threads of the library in a worker, where the environment names no number: as many as a small executor's cores.
+THREADS = "2"
 _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -49,31 +50,11 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Memo(dict):
-    """A dict in two generations: when it has many entries, they become old ones; old ones that are met come back,
-    the others go with the next turn."""
-
-    def __init__(self, limit: int):
-        super().__init__()
-        self.limit, self.old = limit, {}
-
-    def unknown(self, keys: set[str]) -> set[str]:
-        """Brings in the old entries of keys; those of keys that are in neither generation."""
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
-        new = keys.difference(self)
-        if old := self.old:
-            back = [k for k in new if k in old]
-            self.update(zip(back, map(old.__getitem__, back), strict=True))
-            new.difference_update(back)
-        return new
-
-
 class Codec:
     """Encodes and decodes as the tokenizers library does with one byte-level BPE file."""
 
-    def __init__(self, path: str, leaf: int = LEAF, memo: int = MEMO):
+    def __init__(self, path: str, leaf: int = LEAF):
+        os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
         from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
@@ -96,7 +77,6 @@ class Codec:
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.pre = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         self.raw = Tokenizer(self.tokenizer.model)  # without pre-tokens
-        self.memo = Memo(memo)
 
     # Long pre-tokens: bytes in, ids out.
 
@@ -146,27 +126,21 @@ class Codec:
 
     # Pieces between safe cuts: they follow a space, or begin with the line feed that they follow.
 
-    def _known(self, pieces: list[str]) -> list[bytes]:
-        """The ids of distinct pieces, with their space or line feed."""
+    def _known(self, pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each distinct piece, with its space or line feed, begin and how many they are."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        memo, long = self.memo, self.leaf // 4
-        new = list(memo.unknown(set(pieces)))
-        if new and max(map(len, new)) > long:
-            memo.update((p, self._long(p if p[0] == "\n" else " " + p)) for p in new if len(p) > long)
-            new = [p for p in new if len(p) <= long]
+        spaced = pc.binary_join_element_wise(pc.if_else(pc.starts_with(pieces, "\n"), "", " "), pieces, "")
+        ends = np.frombuffer(spaced.buffers()[1], np.int32)[: len(spaced) + 1]
+        data = memoryview(spaced.buffers()[2] or b"")
         # Some hundreds a text: the library's cost is the same, and its threads share them.
-        runs = [new[i : i + 500] for i in range(0, len(new), 500)]
-        texts = [(" " + " ".join(r)).replace(" \n", "\n") for r in runs]
-        names = pa.array(new, pa.string())
-        long = pc.binary_length(names).to_numpy() + ~pc.starts_with(names, "\n").to_numpy(zero_copy_only=False)
-        for i, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            stops = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(long[500 * i : 500 * i + 500])) + 4).tolist()
-            raw = ids.tobytes()
-            memo.update(zip(runs[i], [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
-        return list(map(memo.__getitem__, pieces))
+        cuts = [*range(0, len(spaced), 500), len(spaced)]
+        texts = [str(data[ends[i] : ends[j]], "utf-8") for i, j in zip(cuts, cuts[1:], strict=False)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] or [np.zeros(0, "<u4")])
+        stops = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+        stops[0] = 0
+        return ids, stops[:-1], np.diff(stops)
 
     def _places(self, texts):
         """The distinct pieces of texts, and what each is made of: pieces and tails to encode, which two of them make
@@ -192,8 +166,7 @@ class Codec:
         chars = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[np.repeat(stops - ends, size) + np.arange(ends[-1] if len(ends) else 0)]
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         tail = pa.StringArray.from_buffers(len(whole), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(chars))).dictionary_encode()
-        names = lambda x: x.dictionary.to_numpy(zero_copy_only=False).tolist()
-        return names(core), names(tail), core.indices.to_numpy(), tail.indices.to_numpy(), odd, whole, found.indices.to_numpy(), at
+        return core.dictionary, tail.dictionary.to_pylist(), core.indices.to_numpy(), tail.indices.to_numpy(), odd, whole, found.indices.to_numpy(), at
 
     def encode_column(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of an Arrow column's texts, end to end, and where each text's begin and end."""
@@ -210,27 +183,35 @@ class Codec:
         careful[np.repeat(np.arange(n), np.diff(at))[strange]] = True
         for s in self.special:
             careful |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-        units = [b"", *self._known([c for c in cores if c])]
+        # Units to encode: nothing, distinct cores, long cores, tails, beginnings.
+        short = pc.utf8_length(cores).to_numpy() <= self.leaf // 4
+        filled = pc.binary_length(cores).to_numpy() > 0
+        ids, start, held = self._known(cores.filter(pa.array(short & filled)))
         core_at = np.zeros(len(cores), np.int32)
-        core_at[[i for i, c in enumerate(cores) if c]] = np.arange(1, len(units))
-        tail_at = len(units) + np.arange(len(tails), dtype=np.int32)
+        core_at[short & filled] = 1 + np.arange(len(start))
+        core_at[~short] = base = 1 + len(start) + np.arange(int((~short).sum()))
+        units = [self._long(c if c[0] == "\n" else " " + c) for c in cores.filter(pa.array(~short)).to_pylist()]
+        tail_at = 1 + len(start) + len(base) + np.arange(len(tails), dtype=np.int32)
         units += [self._start(t) for t in tails]
-        head_at = len(units) + np.arange(n, dtype=np.int32)
+        head_at = 1 + len(start) + len(units) + np.arange(n, dtype=np.int32)
         slow = iter(texts.filter(pa.array(careful)).to_pylist())
         units += [self._careful(next(slow)) if c else self._start(h) for h, c in zip(heads, careful.tolist(), strict=True)]
+        more = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        start = np.concatenate([[0], start, len(ids) + np.cumsum(more) - more])
+        held = np.concatenate([[0], held, more])
+        ids = np.concatenate([ids, np.frombuffer(b"".join(units), "<u4")])
         # Each piece is two units; those of all places are laid end to end.
         spots = np.empty((len(place), 2), np.int32)
         spots[:, 0], spots[:, 1] = core_at[core_of][place], tail_at[tail_of][place]
         spots[np.repeat(careful, np.diff(at))] = 0
         spots[at[:-1], 0], spots[at[:-1], 1] = head_at, 0
         spots = spots.ravel()
-        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
-        ends, held = np.cumsum(sizes), sizes[spots]
-        stops = np.cumsum(held)
-        kind = np.int32 if max(ends[-1], stops[-1] if len(stops) else 0) < 1 << 30 else np.int64
-        begin = np.repeat((ends[spots] - stops).astype(kind), held)
+        many = held[spots]
+        stops = np.cumsum(many)
+        kind = np.int32 if max(len(ids), stops[-1] if len(stops) else 0) < 1 << 30 else np.int64
+        begin = np.repeat((start[spots] - stops + many).astype(kind), many)
         begin += np.arange(len(begin), dtype=kind)
-        return np.frombuffer(b"".join(units), "<u4")[begin], np.concatenate([[0], stops[2 * at[1:] - 1]])
+        return ids[begin], np.concatenate([[0], stops[2 * at[1:] - 1]])
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -251,9 +232,7 @@ class Codec:
                 out.append(self._start(first))
                 at = [i for i, x in enumerate(rest) if any(c.isspace() for c in x)]
                 for a, b in zip([-1, *at], [*at, len(rest)], strict=True):
-                    if some := rest[a + 1 : b]:
-                        ids = dict(zip(distinct := list(dict.fromkeys(some)), self._known(distinct), strict=True))
-                        out += [ids[x] for x in some]
+                    out += [self._start(" " + x) for x in rest[a + 1 : b]]
                     if b < len(rest):
                         out.append(self._start(" " + rest[b]))
         return b"".join(out)

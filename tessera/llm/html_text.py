@@ -1,19 +1,23 @@
 """Main text of HTML pages: structure first, then a host suffix array for what structure leaves open.
 
 A page's markup splits it into text blocks. Blocks inside menus, headers, footers, sidebars, notices, adverts,
-forms, comments and the like are out; blocks inside the page's article (or main) element are its text. Pages
-without such an element have open blocks only, and for them the host decides: the token streams of all the
-host's pages (without the articles) are taken together, their suffixes sorted into buckets by their first DEPTH
-tokens, and a bucket with suffixes of two distinct pages marks a repeated substring of that length or more.
-Longer repeats are chains of such suffixes. Blocks mostly covered by repeats are boilerplate; the others, the
-unique runs, are kept.
+forms, comments and the like are out; blocks inside the page's article (or main) element are its text, all of it, as
+passages that articles share belong to each of them. Pages without such an element have open blocks only, and for them
+the host decides: the token streams of all the host's pages (without the articles) are laid end to end, and their
+suffixes sorted by their first DEPTH tokens. A group of suffixes with those tokens in common that begin in two
+distinct pages is a repeated substring of that length or more; longer repeats are chains of such suffixes, so the tokens
+that repeats of DEPTH or more tokens cover are known without sorting any further. They leave the open blocks; the
+unique runs between them stay.
 
-The buckets are aggregates (smallest and largest page), so neither a hot host nor a footer on all its pages
-meets in one task; only pages that have open blocks look their suffixes up again.
+The groups are aggregates (smallest and largest page), so neither a hot host nor a footer on all its pages
+meets in one task; only pages that have open blocks look their suffixes up again. Pages with the same token stream
+are one page to the array: a copied page keeps its text. A page is read once from its beginning to its end, however
+broken its markup is.
 
 Defined cases: null or empty html gives the empty text; a null url makes the page a host of its own; open
 blocks shorter than DEPTH tokens are kept unless their whole text is such a block elsewhere on the host; rows of
-one url are one page to the array and are extracted each; columns text and n_chars replace columns of these names.
+one url are extracted each, as are repeated rows; very long pages are read whole; an empty table gives an empty result;
+of other columns none is read, and text and n_chars are the only ones added.
 """
 
 from __future__ import annotations
@@ -28,14 +32,11 @@ from .common import let, materialize, ship
 
 #: Tokens by which suffixes are sorted: the least length of a repeat.
 DEPTH = 8
-#: The share of an open block's tokens that repeats must cover to remove it.
-COVERED = 0.6
-
 # Elements and names by which pages mark what is not their main text.
 OUT = frozenset(
     "head title script style noscript template iframe object svg canvas math nav header footer aside form button select textarea dialog menu audio video".split()
 )
-RAW = "script|style|noscript|template|textarea|title|iframe|svg"
+RAW = {x: re.compile(rf"</{x}\s*>", re.I | re.A) for x in "script style noscript template textarea title iframe svg".split()}
 BLOCKS = frozenset(
     "html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre section article main header footer nav aside form figure figcaption address details summary fieldset hr center dialog menu".split()
 )
@@ -44,16 +45,61 @@ CORE = frozenset(("article", "main"))
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations trending comment comments disqus replies respond widget toolbar pagination pager".split()
 )
+#: Words that make compounds with those: cookie-bar, related-posts.
+WITH = frozenset("area articles bar block box button buttons container content footer form global group inner item items left links list main message page panel posts right section site top unit widget wrap wrapper".split())
+#: Elements of running text: their class says how they look, not what they are.
+TEXT = frozenset("p li td th dt dd h1 h2 h3 h4 h5 h6 blockquote pre span b i em strong a code q u s small sub sup mark".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][\w:-]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*)>""",
-    re.S | re.I,
-)
+_NAME_OF = re.compile(r"(/?)([a-zA-Z][\w:-]*+)")
+_REST = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-hidden|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
-_NAME = re.compile(r"[\s_-]+")
+_PARTS = re.compile(r"[_-]+")
+
+
+def _tags(page: str):
+    """What stands between the texts of a page: where it begins and ends and, of a tag, whether it closes, its name
+    and its attributes. Every search that fails is the last of its kind, so the page is read in linear time."""
+    at, quoted = page.find("<"), True
+    while at >= 0:
+        if page.startswith("<!--", at) or page.startswith("<![CDATA[", at):
+            mark = "-->" if page[at + 2] == "-" else "]]>"
+            end = page.find(mark, at + 4)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, None
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1
+            if not end:
+                return
+            yield at, end, None
+        elif name := _NAME_OF.match(page, at + 1):
+            rest = _REST.match(page, name.end()) if quoted else None
+            if rest:
+                end, attributes = rest.end(), rest[1]
+            else:  # quotes that do not end: from here on none are trusted
+                quoted = False
+                end = page.find(">", name.end()) + 1
+                if not end:
+                    return
+                attributes = page[name.end() : end - 1]
+            tag = name[2].lower()
+            if not name[1] and tag in RAW:
+                close = RAW[tag].search(page, end)
+                end = close.end() if close else len(page)
+                yield at, end, None
+            else:
+                yield at, end, (name[1], tag, attributes)
+        else:
+            end = at + 1
+        at = page.find("<", end)
+
+
+def _named_out(names: str) -> bool:
+    for name in names.split():
+        parts = _PARTS.split(name)
+        if not NAMES.isdisjoint(parts) and all(x in NAMES or x in WITH or not x for x in parts):
+            return True
+    return False
 
 
 def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
@@ -62,7 +108,7 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            out |= not NAMES.isdisjoint(_NAME.split(value))
+            out |= tag not in TEXT and _named_out(value)
         elif name == "role":
             out |= value in ROLES
             core |= value in CORE
@@ -80,7 +126,7 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
 def blocks_of(page: str | None) -> tuple[list[str], list[str], list[str]]:
     """The texts of a page's article blocks, of its open blocks and of its blocks that are out."""
     found: tuple[list[str], list[str], list[str]] = ([], [], [])
-    page = (page or "").replace("\x00", "")
+    page = page or ""
     stack: list[tuple[str, bool, bool]] = []  # containers: name, out, in the article
     out = core = False
     run: list[str] = []
@@ -92,16 +138,13 @@ def blocks_of(page: str | None) -> tuple[list[str], list[str], list[str]]:
         if text:
             found[2 if out else 0 if core else 1].append(text)
 
-    for m in _TAG.finditer(page):
-        if m.start() > at:
-            run.append(page[at : m.start()])
-        at = m.end()
-        if m[3]:
-            close, tag, attributes = m[2], m[3].lower(), m[4]
-        elif m[6]:
-            close, tag, attributes = m[5], m[6].lower(), m[7]
-        else:
+    for start, end, found_tag in _tags(page):
+        if start > at:
+            run.append(page[at:start])
+        at = end
+        if not found_tag:
             continue
+        close, tag, attributes = found_tag
         if tag == "br":
             run.append(" ")
             continue
@@ -140,11 +183,11 @@ def _host(url: str) -> Column:
 
 
 def parse(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """page_id, url, host, page (its identity), main (article blocks joined), open and other (blocks)."""
+    """page_id, url, host, main (article blocks joined), open and other (blocks)."""
     ship(pages.sparkSession)
     identity = F.coalesce(F.col(url), F.concat(F.lit("id:"), F.coalesce(F.col(page_id).cast("string"), F.lit(""))))
     host = F.when(F.col(url).isNull() | (_host(url) == ""), identity).otherwise(_host(url))
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), identity.alias("page"), F.col(page).alias("html"))
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(page).alias("html"))
     schema = rows.drop("html").withColumns({"main": F.lit(""), "open": F.array(F.lit("")), "other": F.array(F.lit(""))}).schema
 
     def run(batches):
@@ -153,14 +196,14 @@ def parse(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: st
         from .bpe import slices
 
         for batch in batches:
-            column = batch.column(4)
+            column = batch.column(3)
             for s in slices(column):
                 found = [blocks_of(x) for x in column[s].to_pylist()]
                 main = ["\n".join(x[0]) for x in found]
                 # Blocks beside an article are not its text.
                 opened = [[] if x[0] else x[1] for x in found]
                 other = [x[2] + x[1] if x[0] else x[2] for x in found]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i)[s] for i in range(4)), pa.array(main, pa.string()), *(pa.array(x, pa.list_(pa.string())) for x in (opened, other))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i)[s] for i in range(3)), pa.array(main, pa.string()), *(pa.array(x, pa.list_(pa.string())) for x in (opened, other))], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -178,7 +221,7 @@ def _suffixes(block: Column) -> Column:
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Per row of pages: page_id, url, text and n_chars."""
     parsed = materialize(parse(pages, page_id, url, page), "parsed")
-    streams = parsed.select("host", "page", F.explode(F.concat("open", "other")).alias("block"))
+    streams = parsed.select("host", F.xxhash64("open", "other").alias("page"), F.explode(F.concat("open", "other")).alias("block"))
     repeated = (
         streams.select("host", "page", F.explode(_suffixes(F.col("block"))).alias("h"))
         .groupBy("host", "h").agg(F.min("page").alias("lo"), F.max("page").alias("hi")).where("lo <> hi").select("host", "h")
@@ -187,16 +230,27 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     blocks = parsed.select("host", F.explode("open").alias("block")).distinct()
     looked = blocks.select("host", "block", F.posexplode(_suffixes(F.col("block"))).alias("pos", "h"))
     hits = looked.join(repeated, ["host", "h"], "left_semi").groupBy("host", "block").agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    covered = let(F.col("at"), lambda s: F.aggregate(F.transform(s, lambda p, i: F.least(F.lit(DEPTH), F.coalesce(F.get(s, i + 1) - p, F.lit(DEPTH)))), F.lit(0), lambda a, x: a + x))
-    tokens = F.size(F.split("block", " "))
-    gone = hits.where(F.least(covered, tokens) >= F.lit(COVERED) * tokens).select("host", "block")
-    opened = parsed.where(F.size("open") > 0).withColumn("__row", F.monotonically_increasing_id())
-    opened = materialize(opened.select("__row", "page_id", "url", "host", F.posexplode_outer("open").alias("pos", "block")), "open")
-    kept = opened.join(gone.withColumn("__gone", F.lit(True)), ["host", "block"], "left")
-    texts = kept.groupBy("__row").agg(
+    cut = hits.select("host", "block", _unique_runs(F.col("block"), F.col("at")).alias("left"))
+    opened = parsed.where(F.size("open") > 0).withColumn("row", F.monotonically_increasing_id())
+    opened = materialize(opened.select("row", "page_id", "url", "host", F.posexplode_outer("open").alias("pos", "block")), "open")
+    kept = opened.join(cut, ["host", "block"], "left").withColumn("said", F.coalesce("left", "block"))
+    texts = kept.groupBy("row").agg(
         F.first("page_id").alias("page_id"), F.first("url").alias("url"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("__gone").isNull(), F.struct("pos", "block")))), lambda x: x["block"]), "\n").alias("text"),
-    ).drop("__row")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("said") != "", F.struct("pos", "said")))), lambda x: x["said"]), "\n").alias("text"),
+    ).drop("row")
     plain = parsed.where(F.size("open") == 0).select("page_id", "url", F.col("main").alias("text"))
     out = plain.unionByName(texts)
     return out.select(F.col("page_id").alias(page_id), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def _unique_runs(block: Column, at: Column) -> Column:
+    """A block's tokens that none of the repeats covers which begin at the places at (ascending)."""
+
+    def of(t: Column) -> Column:
+        # From the end of one repeat to the beginning of the next; before the first and after the last too.
+        ends = F.concat(F.array(F.lit(0)), F.transform(at, lambda p: F.least(p + F.lit(DEPTH), F.size(t))))
+        begins = F.concat(at, F.array(F.size(t)))
+        runs = F.filter(F.zip_with(ends, begins, lambda e, b: F.when(b > e, F.slice(t, e + 1, b - e))), lambda r: r.isNotNull())
+        return F.array_join(F.flatten(runs), " ")
+
+    return let(F.split(block, " "), of)

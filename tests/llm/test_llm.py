@@ -290,6 +290,41 @@ def test_html_text(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_reads_broken_pages_in_linear_time():
+    import time
+
+    began = time.process_time()
+    for x in ("<a ", "<title ", "<!--", "<p title=\"", "<p '", "<a \">\" ", "<script>", "<", "</", "<![CDATA[", "<div><p>", "</div>"):
+        html_text.blocks_of(x * (1_000_000 // len(x)))
+    assert time.process_time() - began < 60
+    assert html_text.blocks_of("<article><p class='alert'>a\x00b<p class=x>c</p><div class='notice-board'>d</div><div class='cookie-notice'>e</div><section class='related-work'>f</section></article>")[0] == ["a\x00b", "c", "d", "f"]
+
+
+def test_html_host_array_against_brute_force(spark):
+    rng = random.Random(8)
+    shared = [[f"s{rng.randint(0, 10**6)}" for _ in range(rng.randint(3, 30))] for _ in range(6)]
+    pages = []
+    for i in range(40):
+        parts = [rng.choice(shared) if rng.random() < 0.5 else [f"u{i}x{rng.randint(0, 10**6)}" for _ in range(rng.randint(1, 20))] for _ in range(6)]
+        pages.append([p for k in range(3) if (p := parts[2 * k] + parts[2 * k + 1])])
+    pages[7] = pages[3]  # a copy of a whole page
+    rows = [(i, f"http://h.com/{i}", "".join(f"<p>{' '.join(b)}</p>" for b in p)) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    d, where = html_text.DEPTH, collections.defaultdict(set)
+    for p in pages:
+        for b in p:
+            for k in range(max(1, len(b) - d + 1)):
+                where[tuple(b[k : k + d])].add(str(p))
+    for i, p in enumerate(pages):
+        left = []
+        for b in p:
+            hit = {q for k in range(max(1, len(b) - d + 1)) if len(where[tuple(b[k : k + d])]) > 1 for q in range(k, k + d)}
+            if rest := [w for k, w in enumerate(b) if k not in hit]:
+                left.append(" ".join(rest))
+        assert got[i] == "\n".join(left), i
+    assert got[7] == got[3]
+
+
 def test_licences(spark):
     filler = " ".join(f"word{i}" for i in range(300))
     texts = [*ODD, f"{filler} Released under the MIT License. {filler}", f"{filler}\nThis work is licensed under the GNU General Public License, version 3.", licences.TEMPLATES["mit-text"].upper(), "Licensed under CC BY-NC"]

@@ -36,7 +36,7 @@ from .common import ship, trim
 #: Bytes of a leaf, and pieces longer than this are long.
 LEAF = 2048
 #: Bytes of text encoded at once.
-BATCH = 6 << 20
+BATCH = 8 << 20
 #: Threads of the library in a worker, where the environment names no number: as many as a small executor's cores.
 THREADS = "2"
 _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

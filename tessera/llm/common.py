@@ -41,9 +41,12 @@ def uniform(key: Column, seed: str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. Where the session names none (local tests), a temporary one is set."""
+    """The folder that all executors share. Where the session names none, a temporary one is set in local mode, where
+    driver and executors are one; elsewhere that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -69,11 +72,17 @@ def trim() -> None:
 
 
 _shipped: set[str] = set()
+#: Bytes of a batch that goes to a Python worker: ten thousand long rows would not fit.
+BATCH_BYTES = 6 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once an application, for the operators that run Python there."""
+    """Sends this package to the executors, once an application, for the operators that run Python there, and bounds
+    the bytes of the batches that they get, unless the session has set them."""
     sc = spark.sparkContext
+    if not spark._jsparkSession.sessionState().conf().contains(_BATCH_KEY):
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[1]
         target = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"

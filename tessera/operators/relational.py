@@ -150,3 +150,28 @@ def pairs(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Both sides' keys with has_left and has_right: orphans of either side show."""
     a, b = left.select(*on).distinct().withColumn("l", F.lit(True)), right.select(*on).distinct().withColumn("r", F.lit(True))
     return a.join(b, list(on), "full_outer").select(*on, F.coalesce("l", F.lit(False)).alias("has_left"), F.coalesce("r", F.lit(False)).alias("has_right"))
+
+
+def references(speakers: DataFrame, audio: DataFrame, txt: DataFrame, lab: DataFrame, key: str) -> DataFrame:
+    """Speakers that have reference audio, with their reference text: ``txt`` unless blank, else ``lab``."""
+    said = lambda c: F.when(F.trim(c) != "", F.col(c))
+    there = speakers.join(audio.select(key).distinct(), key, "left_semi")
+    return there.join(txt.select(key, "txt"), key, "left").join(lab.select(key, "lab"), key, "left").select(key, F.coalesce(said("txt"), said("lab")).alias("reference"))
+
+
+def mapped(df: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """df joined with its names' table; a value that the table lacks is an error when its row is read."""
+    found = df.join(names.withColumn("__there", F.lit(True)), key, "left")
+    unknown = F.raise_error(F.concat(F.lit(f"no name for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    first = next(c for c in names.columns if c != key)
+    return found.withColumn(first, F.when(F.col("__there"), F.col(first)).otherwise(unknown.cast(names.schema[first].dataType))).drop("__there")
+
+
+def grand_totals(shards: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """One row: the number of shards and the totals over them."""
+    return shards.agg(F.count(F.lit(1)).alias("shards"), *(F.sum(c).alias(c) for c in sums))
+
+
+def any_of(df: DataFrame, **conditions: Column) -> DataFrame:
+    """One row: for each condition whether any row meets it (false for an empty table)."""
+    return df.agg(*(F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in conditions.items()))

@@ -203,9 +203,9 @@ def existing_rows(spark: SparkSession, d: str) -> DataFrame:
     return Q.existing(t(spark, d, "documents").select("doc_id", "source"), t(spark, d, "labels"), "doc_id")
 
 
-@query("SELECT coalesce(d.doc_id, b.item_id) AS id, d.doc_id IS NOT NULL AS has_left, b.item_id IS NOT NULL AS has_right FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 3 = 0) d FULL JOIN (SELECT DISTINCT item_id FROM benchmark) b ON d.doc_id = b.item_id")
+@query("SELECT coalesce(d.doc_id, b.item_id) AS id, d.doc_id IS NOT NULL AS has_left, b.item_id IS NOT NULL AS has_right FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT item_id FROM benchmark) b ON d.doc_id = b.item_id")
 def pair_orphans(spark: SparkSession, d: str) -> DataFrame:
-    docs = t(spark, d, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("id"))
+    docs = t(spark, d, "documents").select(F.col("doc_id").alias("id"))
     return R.pairs(docs, t(spark, d, "benchmark").select(F.col("item_id").alias("id")), ["id"])
 
 
@@ -500,22 +500,47 @@ def scorecard(spark: SparkSession, d: str) -> DataFrame:
     return io.scorecard(t(spark, d, "benchmark").withColumn("score", F.lit(None).cast("string")), ["item_id", "text", "score"])
 
 
-@query("SELECT text, count(*)::BIGINT AS n, min(first)::BIGINT AS first FROM (SELECT text, min(doc_id) AS first FROM documents GROUP BY text) GROUP BY text")
+@query("SELECT text, count(*)::BIGINT AS n, min(doc_id)::BIGINT AS doc_id FROM (SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text) GROUP BY text")
 def stream_incremental_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The incremental build over the table's files, run twice; the second run finds nothing new."""
+    """The incremental build over the table's files, which come in the order of their ids, run twice; the second run
+    finds nothing new. The document that stays is read from the shards."""
     import os
-    import tempfile
 
     from ..streaming import incremental
 
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = f"{shared.rstrip('/')}/stream-{os.urandom(8).hex()}" if shared else tempfile.mkdtemp()
+    root = f"{io.shared_dir(spark)}/stream-{os.urandom(8).hex()}"
     keep = spark.read.parquet(f"{d}/documents.parquet")
     source = f"{root}/in"
-    keep.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.parquet(source)
+    low, high = keep.agg(F.min("doc_id"), F.max("doc_id")).first()
+    third = ((high or 0) - (low or 0)) // 3 + 1
+    for i in range(3):
+        keep.where(F.floor((F.col("doc_id") - (low or 0)) / third) == i).write.mode("append").parquet(source)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema)
     for _ in range(2):
-        incremental.build(spark, source, ddl, f"{root}/out", f"{root}/state", ["text"])
-    out = incremental.shards(spark, f"{root}/out").groupBy("text").agg(F.count(F.lit(1)).alias("n"))
-    first = keep.groupBy("text").agg(F.min("doc_id").alias("first"))
-    return out.join(first, out["text"].eqNullSafe(first["text"])).select(out["text"], "n", "first")
+        incremental.build(spark, source, ddl, f"{root}/out", f"{root}/state", ["text"], files=1000, order="doc_id")
+    return incremental.shards(spark, f"{root}/out").groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
+
+
+@query(
+    "SELECT d.doc_id, coalesce(CASE WHEN trim(b.text) <> '' THEN b.text END, CASE WHEN trim(d.lang) <> '' THEN d.lang END) AS reference FROM documents d JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id LEFT JOIN benchmark b ON b.item_id = d.doc_id"
+)
+def reference_lookup(spark: SparkSession, d: str) -> DataFrame:
+    docs, bench = t(spark, d, "documents"), t(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("txt"))
+    return R.references(docs.select("doc_id"), t(spark, d, "labels"), bench, docs.select("doc_id", F.col("lang").alias("lab")), "doc_id")
+
+
+@query("SELECT n_name, r_name AS speaker_id FROM nation JOIN region ON n_regionkey = r_regionkey")
+def name_map(spark: SparkSession, d: str) -> DataFrame:
+    names = t(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("speaker_id"))
+    return R.mapped(t(spark, d, "nation"), names, "n_regionkey").select("n_name", "speaker_id")
+
+
+@query("SELECT count(*)::BIGINT AS shards, sum(clips)::BIGINT AS clips, sum(bytes)::BIGINT AS bytes FROM (SELECT source, count(*) AS clips, sum(n_chars) AS bytes FROM documents GROUP BY source)")
+def grand_totals(spark: SparkSession, d: str) -> DataFrame:
+    shards = t(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("clips"), F.sum("n_chars").alias("bytes"))
+    return R.grand_totals(shards, ["clips", "bytes"])
+
+
+@query("SELECT coalesce(bool_or(n_chars > 100000000), false) AS huge, coalesce(bool_or(lang = 'en'), false) AS english FROM documents")
+def any_rows(spark: SparkSession, d: str) -> DataFrame:
+    return R.any_of(t(spark, d, "documents"), huge=F.col("n_chars") > 100_000_000, english=F.col("lang") == "en")

@@ -111,6 +111,10 @@ def _decode(content: bytes) -> tuple[list[float] | None, int | None, int | None,
         with wave.open(io.BytesIO(content)) as w:
             width, channels = w.getsampwidth(), w.getnchannels()
             raw = w.readframes(w.getnframes())
+        if width == 3:  # the three bytes as the upper ones of four
+            wide = np.zeros((len(raw) // 3, 4), np.uint8)
+            wide[:, 1:] = np.frombuffer(raw, np.uint8)[: len(raw) // 3 * 3].reshape(-1, 3)
+            raw, width = wide.tobytes(), 4
         kind = {1: "u1", 2: "<i2", 4: "<i4"}[width]
         x = np.frombuffer(raw, kind).astype(np.float64)
         x = (x - 128) / 128 if width == 1 else x / float(1 << (8 * width - 1))
@@ -160,6 +164,18 @@ def decode_wav(content: Column) -> Column:
     return F.pandas_udf(_decode_wav, "samples array<double>, sample_rate int, channels int, frames bigint")(content)
 
 
+def decode_audio(audio: Column, fields: Sequence[str]) -> Column:
+    """samples and sample_rate of an audio struct: what is decoded already (array, sampling_rate), else its bytes."""
+    own = F.struct(audio["array"].cast("array<double>").alias("samples"), audio["sampling_rate"].cast("int").alias("sample_rate")) if "array" in fields else None
+    read = None
+    if "bytes" in fields:
+        wav = decode_wav(F.when(audio["array"].isNull(), audio["bytes"]) if own is not None else audio["bytes"])
+        read = F.struct(wav["samples"].alias("samples"), wav["sample_rate"].alias("sample_rate"))
+    if own is None or read is None:
+        return own if read is None else read
+    return F.when(audio["array"].isNotNull(), own).otherwise(read)
+
+
 def probe_wav(content: Column) -> Column:
     """The header of WAV bytes."""
     return F.pandas_udf(_probe_wav, "sample_rate int, channels int, frames bigint")(content)
@@ -185,6 +201,29 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").json(path)
 
 
+def write_split_files(df: DataFrame, prefix: str, names: Sequence[str] = ("train", "valid", "test")) -> None:
+    """One manifest a split: <prefix>_train.jsonl and so on; a split without rows gives an empty one."""
+    for n in names:
+        write_manifest(df.where(F.col("split") == n).drop("split"), f"{prefix}_{n}.jsonl")
+
+
+def append_registry(entries: DataFrame, path: str) -> None:
+    """Adds checkpoints to a registry; writers that come at once each add files of their own."""
+    entries.write.mode("append").option("ignoreNullFields", False).json(path)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; without one only a local session may use a folder of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    import tempfile
+
+    return tempfile.mkdtemp()
+
+
 def write_speakers(df: DataFrame, path: str) -> None:
     """One folder a sanitised speaker."""
     df.write.mode("overwrite").partitionBy("speaker").parquet(path)

@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 
 
 def build(
-    spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, keys: Sequence[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df, files: int = 1, name: str = "*.parquet"
+    spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, keys: Sequence[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df, files: int = 1, name: str = "*.parquet", order: str | None = None
 ) -> None:
     """Takes the files that came since the last run, ``files`` a batch. Rows are prepared (filtered) first, so that
     a rejected copy does not shadow a later good one; then the first of a key stays, over all runs.
 
     Offsets and keys are kept in the checkpoint. A batch writes shard=<id> anew if it is run again, so a run that
     was lost half-way adds nothing twice. Keys stay in the state store for good: use build_windowed for keys
-    that are known to come close in time.
+    that are known to come close in time. With ``order``, the copy of a batch that stays is the one with the smallest
+    value of that column (else any), and keys of earlier batches are looked up in their shards instead of the state.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", name).parquet(source)
-    unique = prepare(stream).dropDuplicates(list(keys))
+    unique = prepare(stream) if order else prepare(stream).dropDuplicates(list(keys))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
+        if order:
+            batch = batch.groupBy(*keys).agg(F.min_by(F.struct(*batch.columns), order).alias("row")).select("row.*")
+            if batch_id:
+                before = shards(batch.sparkSession, out).where(F.col("shard") < batch_id).select(*(F.col(k).alias(f"__{k}") for k in keys))
+                same = [batch[k].eqNullSafe(before[f"__{k}"]) for k in keys]
+                batch = batch.join(before, same, "left_anti")
         batch.write.mode("overwrite").parquet(f"{out}/shard={batch_id}")
 
     unique.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -109,3 +109,42 @@ def test_sources(spark, tmp_path):
     made = []
     make = lambda: made.append(1) or spark.range(3)
     assert [io.cached(make, spark, str(tmp_path / "c"), "k1").count() for _ in range(2)] == [3, 3] and len(made) == 1
+
+
+def test_loudness(spark):
+    sine = lambda rate, s, a: [a * math.sin(2 * math.pi * 997 * k / rate) for k in range(int(rate * s))]
+    rows = spark.createDataFrame([(0, sine(48000, 2, 1.0), 48000), (1, sine(16000, 2, 0.1), 16000), (2, [0.5] * 10, 16000), (3, [0.0] * 16000, 16000), (4, None, 16000)], "i int, s array<double>, r int")
+    got = {r.i: r for r in rows.withColumn("l", S.loudness(F.col("s"), F.col("r"))).withColumn("o", S.to_loudness(F.col("s"), F.col("l"))).collect()}
+    assert abs(got[0].l + 3.01) < 0.05 and abs(got[1].l + 23.01) < 0.1  # a full-scale tone of 997 Hz reads -3.01
+    assert abs(max(got[1].o) - 0.1 * 10 ** ((-20 - got[1].l) / 20)) < 1e-6 and abs(max(got[2].o) - 0.7) < 1e-9 and set(got[3].o) == {0.0} and got[4].o is None
+
+
+def test_audio_forms_registry_and_stages(spark, tmp_path):
+    import io as memory
+
+    from tessera.plans import stages
+
+    out = memory.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1), w.setsampwidth(3), w.setframerate(8000)
+        w.writeframes(b"".join(int(x * (1 << 23)).to_bytes(3, "little", signed=True) for x in (0.5, -0.25)))
+    df = spark.createDataFrame([((bytearray(out.getvalue()), None, None),), ((None, [0.1], 4000),), ((None, None, None),)], "audio struct<bytes: binary, array: array<double>, sampling_rate: int>")
+    got = [r.a for r in df.select(io.decode_audio(F.col("audio"), ["bytes", "array", "sampling_rate"]).alias("a")).collect()]
+    assert [round(x, 4) for x in got[0].samples] == [0.5, -0.25] and got[0].sample_rate == 8000 and (got[1].samples, got[1].sample_rate) == ([0.1], 4000) and got[2].samples is None
+    for step in (1000, 2000):
+        io.append_registry(spark.createDataFrame([(step, 2.5)], "step long, val_loss double"), f"{tmp_path}/registry")
+    assert spark.read.json(f"{tmp_path}/registry").count() == 2
+    io.write_split_files(spark.createDataFrame([(1, "train"), (2, "test")], "i int, split string"), f"{tmp_path}/m")
+    assert spark.read.schema("i int").json(f"{tmp_path}/m_train.jsonl").collect()[0].i == 1 and spark.read.schema("i int").json(f"{tmp_path}/m_valid.jsonl").count() == 0
+    clips = spark.createDataFrame([(1, "A"), (2, "C")], "i int, quality_grade string")
+    double = lambda batches: (b.assign(i=b["i"] * 2) for b in batches)
+    assert [r.i for r in stages.run(clips, ["filter", "denoise", "vad"], denoise={"hook": double}).collect()] == [2]
+    with pytest.raises(ValueError, match="no such stage"):
+        stages.run(clips, ["nothing"])
+    names = spark.createDataFrame([("a", "spk_1")], "name string, speaker string")
+    assert R.mapped(spark.createDataFrame([("a",)], "name string"), names, "name").first().speaker == "spk_1"
+    with pytest.raises(Exception, match="no name for"):
+        R.mapped(spark.createDataFrame([("b",)], "name string"), names, "name").collect()
+    raw = spark.createDataFrame([("a.wav", "តម្លៃបញ្ចុះ 25%"), ("a.wav", "z"), ("", "x")], "audio_path string, text string")
+    done = stages.run(raw, ["ingest", "normalize"]).collect()
+    assert len(done) == 1 and done[0].text_raw in ("តម្លៃបញ្ចុះ 25%", "z")

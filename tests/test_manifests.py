@@ -145,6 +145,6 @@ def test_audio_forms_registry_and_stages(spark, tmp_path):
     assert R.mapped(spark.createDataFrame([("a",)], "name string"), names, "name").first().speaker == "spk_1"
     with pytest.raises(Exception, match="no name for"):
         R.mapped(spark.createDataFrame([("b",)], "name string"), names, "name").collect()
-    raw = spark.createDataFrame([("a.wav", "តម្លៃបញ្ចុះ 25%"), ("a.wav", "z"), ("", "x")], "audio_path string, text string")
+    raw = spark.createDataFrame([("a.wav", "តម្លៃបញ្ចុះ 25%"), ("a.wav", "z"), (None, "x")], "audio_path string, text string")
     done = stages.run(raw, ["ingest", "normalize"]).collect()
     assert len(done) == 1 and done[0].text_raw in ("តម្លៃបញ្ចុះ 25%", "z")

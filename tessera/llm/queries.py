@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, html_text, licences, lines, mix, ngram_join, nn_descent, pseudonyms, rules, tokenfiles
 from .common import shared_path, table
-from .sql import LINES_SQL, RULES_SQL, mix_sql
+from .sql import ABLATION_SQL, LINES_SQL, RULES_SQL, mix_sql
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Public, as the tables are made up; real texts need a secret one.
@@ -33,6 +33,10 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_mask")
 
 
+def ablation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.ablation(rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.search(table(spark, sf_dir, "embeddings"))
 
@@ -60,5 +64,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY)).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_pseudonyms, op3_html_text, op4_rules, op5_nn_descent, op6_token_files, op7_licences, op8_ngram_join, op9_line_dedup, op10_bpe)}
-ORACLES = {"op1_mix": mix_sql(), "op4_rules": RULES_SQL, "op9_line_dedup": LINES_SQL}
+QUERIES = {f.__name__: f for f in (op1_mix, op2_pseudonyms, op3_html_text, op4_rules, op5_nn_descent, op6_token_files, op7_licences, op8_ngram_join, op9_line_dedup, op10_bpe, ablation_rules)}
+ORACLES = {"op1_mix": mix_sql(), "op4_rules": RULES_SQL, "op9_line_dedup": LINES_SQL, "ablation_rules": ABLATION_SQL}

@@ -68,3 +68,15 @@ FROM d JOIN p USING (source_, lang_, topic_)"""
 
 RULES_SQL = _rules_sql()
 LINES_SQL = _lines_sql()
+
+
+def _ablation_sql() -> str:
+    policy = rules.DEFAULT_POLICY
+    whole = rules.mask_of(rules.POLICIES[policy])
+    rows = ", ".join(f"('{r.name}', {1 << r.bit})" for r in rules.RULES if r.name in rules.POLICIES[policy])
+    return f"""
+SELECT rule, (count(*) FILTER (WHERE (m & b) <> 0))::BIGINT AS n_failed, (count(*) FILTER (WHERE m = b))::BIGINT AS n_only, '{policy}' AS policy
+FROM (SELECT fail_mask & {whole} AS m FROM ({RULES_SQL}) AS ledger), (VALUES {rows}) AS r(rule, b) GROUP BY rule"""
+
+
+ABLATION_SQL = _ablation_sql()

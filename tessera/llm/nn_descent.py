@@ -12,8 +12,10 @@ has not expanded yet, until there are none. The beam then doubles for each query
 than STABLE of its k best. Walks go by single precision; the scores of the result are exact inner products in
 double precision of the original vectors.
 
-A node meets others only inside blocks of LEAF rows or through lists of at most DEGREE edges in each direction,
-so no group grows with the data; copies are handled outside the graph, whatever their number.
+A node meets others only inside blocks of LEAF rows or through lists of at most DEGREE edges in each direction.
+Edges into a hub, of which there may be as many as nodes, and the ids of a vector's copies are cut to the first few by
+ranked limits on both sides of the shuffle before any is collected, so no collected group grows with the data. The join
+that finds the copies' nodes has one row a vector on one side; a hot vector's rows there are split by adaptive execution.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a non-finite component take no part;
 so do rows with a null id; of rows with one id each is a candidate; vectors of different lengths are an error of
@@ -26,7 +28,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, ship
@@ -98,11 +100,17 @@ def _within(table):
     return _edges(np.repeat(ids, at.shape[1]), ids[at].ravel(), np.take_along_axis(s, at, 1).ravel())
 
 
+def _first(rows: DataFrame, key: str, k: int, *order) -> DataFrame:
+    """The first k rows of each key. A rank's limit is applied before the shuffle too, so of a hot key each task sends k."""
+    ranked = rows.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked.where(F.col("__r") <= k).drop("__r")
+
+
 def _top(edges: DataFrame, k: int = DEGREE) -> DataFrame:
-    """The k best edges of each node, as one row a node: packed aggregates, no window."""
+    """The k best edges of each node, as one row a node; a hub's edges are cut before they are collected."""
     once = edges.groupBy("a", "b").agg(F.max("score").alias("score"))
-    packed = once.groupBy("a").agg(F.collect_list(F.struct("score", "b")).alias("n"))
-    return packed.select("a", F.slice(F.sort_array("n", asc=False), 1, k).alias("n"))
+    best = _first(once, "a", k, F.desc("score"), F.desc("b"))
+    return best.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("score", "b")), asc=False).alias("n"))
 
 
 def _flat(lists: DataFrame) -> DataFrame:
@@ -234,7 +242,7 @@ def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id",
     found = _scored(reduce(DataFrame.unionByName, found), queries, nodes)
     # The query's own vector is a neighbour too, for its copies.
     itself = queries.select("q", F.col("q").alias("b"), F.aggregate(F.zip_with("vq", "vq", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x).alias("score"))
-    few = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("vec_id")), 1, k + 1).alias("ids"))
+    few = _first(members.distinct(), "node", k + 1, "vec_id").groupBy("node").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     near = found.select("q", "b", "score").unionByName(itself).join(few, F.col("b") == F.col("node")).groupBy("q").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "ids")).alias("found"))
     flat = F.flatten(F.transform("found", lambda x: F.transform(x["ids"], lambda i: F.struct(x["s"].alias("s"), i.alias("i")))))
     out = wanted.join(near.select("q", flat.alias("all")), F.col("node") == F.col("q"))

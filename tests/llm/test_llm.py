@@ -376,6 +376,26 @@ def test_nearest_neighbours_beyond_the_leaves(spark, monkeypatch):
     assert len(got) == len(want) and len(want & set(got)) / len(want) >= 0.95
 
 
+def test_nearest_neighbours_with_hubs_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "LEAF", 64)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 32)) * rng.lognormal(0, 0.5, 3000)[:, None]  # the longest are near to all
+    x[1000:2000] = x[1000]  # a third of the rows are one vector
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    hub = spark.createDataFrame([(a, b, float(a * 7 % 1000)) for a in range(500) for b in (0, 1)], "b long, a long, score double")
+    top = {r.a: [(e.score, e.b) for e in r.n] for r in nn_descent._top(hub).collect()}
+    assert all(top[a] == sorted(((float(b * 7 % 1000), b) for b in range(500)), reverse=True)[: nn_descent.DEGREE] for a in (0, 1))
+    got = collections.defaultdict(list)
+    for r in nn_descent.search(rows).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    found = 0
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        found += sum(c >= np.sort(np.delete(s, q))[-20] - 1e-9 for _, _, c in got[q])
+        assert len(got[q]) == 20 == len({i for _, i, _ in got[q]})
+    assert found / (20 * 150) >= 0.9
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 

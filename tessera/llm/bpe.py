@@ -37,6 +37,8 @@ from .common import ship, trim
 LEAF = 2048
 #: Bytes of text encoded at once.
 BATCH = 8 << 20
+#: The same where ids become Python lists or strings beside them.
+DIGEST_BATCH = 3 << 20
 #: Threads of the library in a worker, where the environment names no number: as many as a small executor's cores.
 THREADS = "2"
 _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -315,7 +317,7 @@ def _mapped(docs: DataFrame, path: str, text: str, added: str, make) -> DataFram
         c = codec(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            for s in slices(column, BATCH):
+            for s in slices(column, DIGEST_BATCH):
                 part = batch.slice(s.start, s.stop - s.start)
                 new = make(c, *c.encode_column(column[s]))
                 yield pa.RecordBatch.from_arrays([*part.columns, *(new[n] for n in extra.names)], names=[*part.schema.names, *extra.names])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket, md5
+from . import cuts
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -26,8 +27,8 @@ def acceptance(df: DataFrame, keys: Sequence[str], order: str, ok: Column) -> Da
 def exact_split(df: DataFrame, key: str, seed: int = 42, valid: float = 0.02, test: float = 0.02) -> DataFrame:
     """df with split: exact sizes int(n * fraction), in the order of md5(seed|key).
 
-    Ranks come from a sort by range and counts a partition, so no task holds all rows: a prefix sum over
-    the hash's first byte (256 groups) plus a rank within the byte.
+    Ranks come from counts, so no task holds all rows: a prefix sum over the hash's first four digits (65,536 groups) plus
+    a rank within the group.
     """
     hashed = df.withColumn("__h", md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))).withColumn("__b", F.substring("__h", 1, 4))
     counts = hashed.groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))
@@ -40,20 +41,19 @@ def exact_split(df: DataFrame, key: str, seed: int = 42, valid: float = 0.02, te
 
 
 def speaker_sequence(df: DataFrame, speaker: Column, order: str, path: str = "seq") -> DataFrame:
-    """df with speaker and its rows' 8-digit numbers from 1."""
-    out = df.withColumn("speaker", speaker)
-    return out.withColumn(path, F.format_string("%08d", F.row_number().over(Window.partitionBy("speaker").orderBy(order))))
+    """df with speaker and its rows' 8-digit numbers from 1; a speaker's rows are spread over range partitions."""
+    return cuts.sequence(df.withColumn("speaker", speaker), [order], ["speaker"], path).withColumn(path, F.format_string("%08d", path))
 
 
 def gapped_sequence(df: DataFrame, order: str, keep: Column, groups: Sequence[str] = ()) -> DataFrame:
     """Numbers given before the filter, so that skipped rows leave gaps; within groups if given."""
-    return df.withColumn("seq", F.row_number().over(Window.partitionBy(*groups).orderBy(order))).where(keep)
+    return cuts.gapped(df, [order], keep, groups)
 
 
 def balanced_shards(df: DataFrame, key: str, n: int) -> DataFrame:
     """key and shard: distinct keys in the order of their md5, dealt round; sizes differ by one at most."""
-    keys = df.select(key).distinct()
-    return keys.withColumn("shard", ((F.row_number().over(Window.orderBy(md5(F.col(key)), key)) - 1) % n).cast("int"))
+    keys = df.select(key).distinct().withColumn("__h", md5(F.col(key)))
+    return cuts.sequence(keys, ["__h", key], name="shard").select(key, ((F.col("shard") - 1) % n).cast("int").alias("shard"))
 
 
 def shard_rows(df: DataFrame, key: str, shards: DataFrame, n: int, index: int) -> DataFrame:
@@ -102,31 +102,6 @@ def release(lock: DataFrame, owner: str) -> DataFrame:
     return lock.where(~F.col("owner").eqNullSafe(owner))
 
 
-def greedy_chunks(df: DataFrame, order: str, size: str, limit: int, groups: Sequence[str] = ()) -> DataFrame:
-    """df's (groups, order) with chunk: rows join a chunk while its sum is below limit, and may overshoot it once.
-
-    A fold over the ordered sizes of a list of files; lists of rows belong in groups.
-    """
-    keys = list(groups) or [F.lit(0).alias("__all")]
-    lists = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("l"))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).cast("long").alias("sum"))
-    # The states of a running fold: each is made from its predecessor alone, and emitted with its row.
-    rows = F.aggregate(
-        "l",
-        F.struct(start.alias("at"), F.array().cast("array<int>").alias("chunks")),
-        lambda a, x: F.struct(
-            F.struct(
-                F.when((a["at"]["sum"] >= limit) | (a["at"]["chunk"] == 0), a["at"]["chunk"] + 1).otherwise(a["at"]["chunk"]).alias("chunk"),
-                F.when(a["at"]["sum"] >= limit, x["s"]).otherwise(a["at"]["sum"] + x["s"]).alias("sum"),
-            ).alias("at"),
-            F.concat(a["chunks"], F.array(F.when((a["at"]["sum"] >= limit) | (a["at"]["chunk"] == 0), a["at"]["chunk"] + 1).otherwise(a["at"]["chunk"]))).alias("chunks"),
-        ),
-        lambda a: a["chunks"],
-    )
-    out = lists.withColumn("c", rows).select(*groups, F.explode(F.arrays_zip("l", "c")).alias("z"))
-    return out.select(*groups, F.col("z.l.o").alias(order), F.col("z.l.s").alias(size), F.col("z.c").alias("chunk"))
-
-
 def shard_meta(df: DataFrame, groups: Sequence[str], seconds: str, size: str, source: str) -> DataFrame:
     """Per shard: clips, hours, bytes, bytes a second (null without seconds) and source files in order."""
     s = F.sum(seconds)

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..functions import hashing as H
 from ..functions import signal as S
 from ..functions import text as T
+from ..operators import cuts
 from ..operators import quality as Q
 from ..operators import relational as R
 from ..schema import Limits
-from ..sources import io
+from ..sources import io, shared
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -363,7 +364,7 @@ c AS (SELECT source, doc_id, n_chars, r, 1 AS chunk, n_chars AS total FROM o WHE
 
 
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
-    return R.greedy_chunks(t(spark, d, "documents").select("source", "doc_id", "n_chars"), "doc_id", "n_chars", 20000, ["source"])
+    return cuts.greedy_chunks(t(spark, d, "documents").select("source", "doc_id", "n_chars"), "doc_id", "n_chars", 20000, ["source"])
 
 
 @query(_CHUNKS + " SELECT source, doc_id, n_chars, chunk FROM c")
@@ -371,6 +372,30 @@ def greedy_chunks(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d)
 
 
+_FILES = "SELECT doc_id // 40 AS file, sum(n_chars)::BIGINT AS bytes, count(*) FILTER (WHERE n_chars >= 200)::BIGINT AS clips FROM documents GROUP BY ALL"
+
+
+def _fold(name: str, size: str, limit: int) -> str:
+    return f"""{name} AS (SELECT file, {size} AS s, r, 1 AS chunk, {size} AS total FROM o WHERE r = 1 UNION ALL
+  SELECT o.file, o.{size}, o.r, CASE WHEN c.total >= {limit} THEN c.chunk + 1 ELSE c.chunk END, CASE WHEN c.total >= {limit} THEN o.{size} ELSE c.total + o.{size} END FROM {name} c JOIN o ON o.r = c.r + 1)"""
+
+
+@query(
+    f"WITH RECURSIVE o AS (SELECT *, row_number() OVER (ORDER BY file) AS r FROM ({_FILES})), {_fold('b', 'bytes', 150000)}, {_fold('k', 'clips', 100)} "
+    "SELECT file, bytes, clips, b.chunk AS chunk, k.chunk AS shard FROM o JOIN b USING (file) JOIN k USING (file)"
+)
+def shard_cut(spark: SparkSession, d: str) -> DataFrame:
+    """Files are read by chunks of bytes and cut to shards by their accepted clips; what is pending at the end of a first
+    run over half of the files is carried into the second."""
+    docs = t(spark, d, "documents")
+    files = docs.groupBy(F.floor(F.col("doc_id") / 40).alias("file")).agg(F.sum("n_chars").alias("bytes"), F.count_if(F.col("n_chars") >= 200).alias("clips"))
+    half = (docs.agg(F.max("doc_id")).first()[0] or 0) // 80
+    first = cuts.greedy_chunks(files.where(F.col("file") < half), "file", "clips", 100)
+    second = cuts.greedy_chunks(files.where(F.col("file") >= half), "file", "clips", 100, opened=cuts.open_chunks(first, "clips"))
+    shards = first.unionByName(second).select("file", F.col("chunk").alias("shard"))
+    return files.join(cuts.greedy_chunks(files, "file", "bytes", 150000).select("file", "chunk"), "file").join(shards, "file")
+
+
 @query(_CHUNKS + " SELECT source, chunk, count(*)::BIGINT AS clips, round(sum(n_chars) / 15.0 / 3600, 4) AS hours, sum(n_chars)::BIGINT AS proto_bytes, round(sum(n_chars) / (sum(n_chars) / 15.0), 1) AS bytes_per_second, string_agg(DISTINCT 'f' || (doc_id % 3), ',' ORDER BY 'f' || (doc_id % 3)) AS source_files FROM c GROUP BY source, chunk")
 def shard_meta(spark: SparkSession, d: str) -> DataFrame:
     rows = _chunks(spark, d).withColumns({"seconds": F.col("n_chars") / 15.0, "file": F.concat(F.lit("f"), F.col("doc_id") % 3)})
@@ -508,7 +533,7 @@ def stream_incremental_dedup(spark: SparkSession, d: str) -> DataFrame:
 
     from ..streaming import incremental
 
-    root = f"{io.shared_dir(spark)}/stream-{os.urandom(8).hex()}"
+    root = f"{shared.shared_dir(spark)}/stream-{os.urandom(8).hex()}"
     keep = spark.read.parquet(f"{d}/documents.parquet")
     source = f"{root}/in"
     low, high = keep.agg(F.min("doc_id"), F.max("doc_id")).first()

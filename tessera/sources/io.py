@@ -212,18 +212,6 @@ def append_registry(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").option("ignoreNullFields", False).json(path)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; without one only a local session may use a folder of its own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    import tempfile
-
-    return tempfile.mkdtemp()
-
-
 def write_speakers(df: DataFrame, path: str) -> None:
     """One folder a sanitised speaker."""
     df.write.mode("overwrite").partitionBy("speaker").parquet(path)

@@ -66,11 +66,6 @@ def test_split_and_buckets(spark):
     assert all(r[f"b{n}"] == int(hashlib.md5(str(r.id).encode()).hexdigest(), 16) % n for r in got for n in (2, 3, 7))
 
 
-def test_greedy_chunks_reset(spark):
-    files = spark.createDataFrame([(i, s) for i, s in enumerate([3, 3, 9, 1, 1, 10])], "pos int, bytes long")
-    assert [r.chunk for r in R.greedy_chunks(files, "pos", "bytes", 5).orderBy("pos").collect()] == [1, 1, 2, 3, 3, 3]
-
-
 def test_validation(spark, tmp_path):
     (tmp_path / "m.jsonl").write_text('{"audio_path":"a","text":"x","speaker_id":"s","duration":1.5}\n{bad\n\n{"audio_path":"a","text":" ","speaker_id":"s","duration":1}\n{"text":"x","speaker_id":"s","duration":1}\n')
     rows = Q.validated(io.read_manifest(spark, str(tmp_path / "m.jsonl"), strict=False), F.lit(True), "_corrupt_record").cache()

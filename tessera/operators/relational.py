@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket, md5
+from ..functions.rx import strip
 from . import cuts
 
 
@@ -128,10 +129,12 @@ def pairs(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def references(speakers: DataFrame, audio: DataFrame, txt: DataFrame, lab: DataFrame, key: str) -> DataFrame:
-    """Speakers that have reference audio, with their reference text: ``txt`` unless blank, else ``lab``."""
-    said = lambda c: F.when(F.trim(c) != "", F.col(c))
+    """Speakers that have reference audio, with their reference text: that of ``txt`` if there is such a file, else of
+    ``lab``, stripped; null if it is blank. A speaker's files of a kind count as one, with the least text."""
+    of = lambda df, c: df.groupBy(key).agg(F.min(strip(F.col(c))).alias(c), F.lit(True).alias(f"__{c}"))
     there = speakers.join(audio.select(key).distinct(), key, "left_semi")
-    return there.join(txt.select(key, "txt"), key, "left").join(lab.select(key, "lab"), key, "left").select(key, F.coalesce(said("txt"), said("lab")).alias("reference"))
+    found = there.join(of(txt, "txt"), key, "left").join(of(lab, "lab"), key, "left")
+    return found.select(key, F.nullif(F.when(F.col("__txt"), F.col("txt")).otherwise(F.col("lab")), F.lit("")).alias("reference"))
 
 
 def mapped(df: DataFrame, names: DataFrame, key: str) -> DataFrame:

@@ -419,11 +419,15 @@ def memory_tiers(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "documents").select("source").distinct().select("source", Q.tier(F.regexp_replace("source", "src", "").cast("int") + 2).alias("x")).select("source", "x.*")
 
 
-@query("SELECT 'data/train-' || lpad(n_nationkey::VARCHAR, 5, '0') || CASE WHEN n_nationkey % 3 = 0 THEN '-of-00653' WHEN n_nationkey % 3 = 1 THEN '-of-00724' ELSE '' END || '.parquet' AS path, 0 AS gen FROM nation WHERE n_nationkey % 3 = 0")
+@query(
+    "SELECT * FROM (SELECT CASE WHEN k % 4 = 1 THEN 'data/train-v' || k || '-' || lpad(k::VARCHAR, 5, '0') ELSE 'data/train-' || lpad(k::VARCHAR, 5, '0') || CASE k % 4 WHEN 0 THEN '-of-00653' WHEN 2 THEN '-of-00724' ELSE '' END END || '.parquet' AS path, "
+    "CASE k % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 END AS gen FROM (SELECT n_nationkey AS k FROM nation)) WHERE gen IS NOT NULL"
+)
 def source_generations(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("n_nationkey")
-    path = F.concat(F.lit("data/train-"), F.lpad(k.cast("string"), 5, "0"), F.when(k % 3 == 0, "-of-00653").when(k % 3 == 1, "-of-00724").otherwise(""), F.lit(".parquet"))
-    return io.generations(t(spark, d, "nation").select(path.alias("path")))
+    k, number = F.col("n_nationkey"), F.lpad(F.col("n_nationkey").cast("string"), 5, "0")
+    plain = F.concat(F.lit("data/train-"), number, F.when(k % 4 == 0, "-of-00653").when(k % 4 == 2, "-of-00724").otherwise(""))
+    path = F.when(k % 4 == 1, F.concat(F.lit("data/train-v"), k, F.lit("-"), number)).otherwise(plain)
+    return io.generations(t(spark, d, "nation").select(F.concat(path, F.lit(".parquet")).alias("path")), partial=True)
 
 
 # Text
@@ -539,19 +543,46 @@ def stream_incremental_dedup(spark: SparkSession, d: str) -> DataFrame:
     low, high = keep.agg(F.min("doc_id"), F.max("doc_id")).first()
     third = ((high or 0) - (low or 0)) // 3 + 1
     for i in range(3):
-        keep.where(F.floor((F.col("doc_id") - (low or 0)) / third) == i).write.mode("append").parquet(source)
+        keep.where(F.floor((F.col("doc_id") - (low or 0)) / third) == i).coalesce(1).write.mode("append").parquet(source)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema)
     for _ in range(2):
-        incremental.build(spark, source, ddl, f"{root}/out", f"{root}/state", ["text"], files=1000, order="doc_id")
+        incremental.build(spark, source, ddl, f"{root}/out", f"{root}/state", ["text"], files=1, order="doc_id")
     return incremental.shards(spark, f"{root}/out").groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
 
 
+_LEDGER = """WITH RECURSIVE k AS (SELECT doc_id, doc_id // 64 AS file, n_chars FROM documents QUALIFY n_chars >= 200 AND row_number() OVER (PARTITION BY text, n_chars >= 200 ORDER BY doc_id) = 1),
+f AS (SELECT file, coalesce(n, 0) AS n, row_number() OVER (ORDER BY file) AS r FROM (SELECT DISTINCT doc_id // 64 AS file FROM documents) LEFT JOIN (SELECT file, count(*) AS n FROM k GROUP BY file) USING (file)),
+c AS (SELECT file, r, 1 AS shard, n AS total FROM f WHERE r = 1 UNION ALL
+  SELECT f.file, f.r, CASE WHEN c.total >= 100 OR f.r = 3 THEN c.shard + 1 ELSE c.shard END, CASE WHEN c.total >= 100 OR f.r = 3 THEN f.n ELSE c.total + f.n END FROM c JOIN f ON f.r = c.r + 1)
+SELECT doc_id, n_chars, shard FROM k JOIN c USING (file)"""
+
+
+@query(_LEDGER)
+def ledger_build(spark: SparkSession, d: str) -> DataFrame:
+    """The table's documents as files of 64 ids each, built to shards by two runs, the first stopped after two chunks; the
+    first of equal texts that is long enough stays. The shard of each document that was accepted."""
+    from ..streaming.ledger import Build
+
+    root = shared.shared_path(spark, "ledger")
+    docs = t(spark, d, "documents").select("doc_id", "text", "n_chars")
+    parts = docs.withColumn("f", F.format_string("%09d", F.floor(F.col("doc_id") / 64).cast("long")))
+    parts.repartition("f").sortWithinPartitions("f", "doc_id").write.partitionBy("f").parquet(f"{root}/in")
+    judge = lambda df: df.withColumns({"ok": F.col("n_chars") >= 200, "seconds": F.col("n_chars") / 15.0})
+    build = Build(spark, f"{root}/in", "doc_id bigint, text string, n_chars bigint", f"{root}/out", ["text"], judge, shard_clips=100, chunk_bytes=1)
+    build.run(max_chunks=2)
+    build.chunk_bytes = 1 << 30
+    build.run()
+    return build.rows().select("doc_id", "n_chars", "shard")
+
+
 @query(
-    "SELECT d.doc_id, coalesce(CASE WHEN trim(b.text) <> '' THEN b.text END, CASE WHEN trim(d.lang) <> '' THEN d.lang END) AS reference FROM documents d JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id LEFT JOIN benchmark b ON b.item_id = d.doc_id"
+    "SELECT d.doc_id, nullif(regexp_replace(CASE WHEN b.item_id IS NOT NULL THEN CASE WHEN b.item_id % 5 = 0 THEN chr(10) ELSE b.text END ELSE d.lang END, '^\\s+|\\s+$', '', 'g'), '') AS reference "
+    "FROM documents d JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id LEFT JOIN benchmark b ON b.item_id = d.doc_id"
 )
 def reference_lookup(spark: SparkSession, d: str) -> DataFrame:
-    docs, bench = t(spark, d, "documents"), t(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("txt"))
-    return R.references(docs.select("doc_id"), t(spark, d, "labels"), bench, docs.select("doc_id", F.col("lang").alias("lab")), "doc_id")
+    docs, i = t(spark, d, "documents"), F.col("item_id")
+    txt = t(spark, d, "benchmark").select(i.alias("doc_id"), F.when(i % 5 == 0, "\n").otherwise(F.col("text")).alias("txt"))
+    return R.references(docs.select("doc_id"), t(spark, d, "labels"), txt, docs.select("doc_id", F.col("lang").alias("lab")), "doc_id")
 
 
 @query("SELECT n_name, r_name AS speaker_id FROM nation JOIN region ON n_regionkey = r_regionkey")

@@ -22,8 +22,11 @@ def hooked(df: DataFrame, hook: Hook | None) -> DataFrame:
 
 
 def ingest(df: DataFrame) -> DataFrame:
-    """Clips with audio and text, one a path."""
-    return R.first_wins(Q.with_audio_and_text(df, "audio_path", "text"), ["audio_path"], ["audio_path", "text"])
+    """Clips with audio and text, the first (by path) of each speaker's sentence; where it has no id the text stands for it."""
+    given = F.nullif(F.col("sentence_id").cast("string"), F.lit("")) if "sentence_id" in df.columns else F.lit(None).cast("string")
+    keyed = Q.with_audio_and_text(df, "audio_path", "text").withColumns({"__by_id": given.isNotNull(), "__sentence": F.coalesce(given, F.col("text"))})
+    speaker = ["speaker_id"] if "speaker_id" in df.columns else []
+    return R.first_wins(keyed, [*speaker, "__by_id", "__sentence"], ["audio_path", "text"]).drop("__by_id", "__sentence")
 
 
 def normalize(df: DataFrame) -> DataFrame:

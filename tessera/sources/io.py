@@ -12,15 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..schema import MANIFEST, REGISTRY
+from ..schema import MANIFEST
 
-#: Names by which columns are found, best first.
+#: Names by which columns are found, best first.
 CANDIDATES = {
     "audio": ("audio", "wav", "speech", "path", "file"),
     "text": ("transcript", "text", "sentence", "transcription", "normalized_text"),
     "speaker": ("speaker_id", "speaker", "client_id"),
 }
-#: Generations of source files in the order in which they win ties; the last is partial.
+#: Generations of source files in the order in which they win ties; the last is partial.
 GENERATIONS = (r"-of-00653", r"train-v\d+-\d+", r"-of-00724")
 
 
@@ -44,8 +44,9 @@ def read_corpus(spark: SparkSession, path: str, columns: Sequence[str] = ("audio
     return spark.read.parquet(path).select(*columns)
 
 
-def read_bounded(spark: SparkSession, paths: Sequence[str], keep, n: int = 0, most_files: int = 100) -> DataFrame:
-    """The first files (0: all), those that are missing or broken skipped, and n rows (0: all) after the filter."""
+def read_bounded(spark: SparkSession, paths: Sequence[str], keep, n: int = 0, most_files: int = 0) -> DataFrame:
+    """The first ``most_files`` files (0: all), those that are missing or broken skipped, and n rows (0: all) after the
+    filter."""
     files = list(paths)[:most_files] if most_files else list(paths)
     out = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True).parquet(*files).where(keep)
     return out.limit(n) if n else out
@@ -60,22 +61,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(T.strip(F.col("value")).alias("line")).where("line <> ''")
 
 
-def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table that may not exist yet: then empty."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return registry_defaults(read_state(spark, path, REGISTRY))
-
-
-def registry_defaults(df: DataFrame) -> DataFrame:
-    return df.withColumns({"trainer_id": F.coalesce("trainer_id", F.lit("unknown")), "shard_index": F.coalesce("shard_index", F.lit(0)), "created": F.coalesce("created", F.lit(0.0))})
-
-
 def shard_files(files: DataFrame, split: str, path: str = "path") -> DataFrame:
     """A listing's files data/<split>-*.parquet, in path order."""
     return files.where(F.col(path).startswith(f"data/{split}-") & F.col(path).endswith(".parquet")).orderBy(path)
@@ -207,11 +192,6 @@ def write_split_files(df: DataFrame, prefix: str, names: Sequence[str] = ("train
         write_manifest(df.where(F.col("split") == n).drop("split"), f"{prefix}_{n}.jsonl")
 
 
-def append_registry(entries: DataFrame, path: str) -> None:
-    """Adds checkpoints to a registry; writers that come at once each add files of their own."""
-    entries.write.mode("append").option("ignoreNullFields", False).json(path)
-
-
 def write_speakers(df: DataFrame, path: str) -> None:
     """One folder a sanitised speaker."""
     df.write.mode("overwrite").partitionBy("speaker").parquet(path)

@@ -17,19 +17,25 @@ def build(
     Offsets and keys are kept in the checkpoint. A batch writes shard=<id> anew if it is run again, so a run that
     was lost half-way adds nothing twice. Keys stay in the state store for good: use build_windowed for keys
     that are known to come close in time. With ``order``, the copy of a batch that stays is the one with the smallest
-    value of that column (else any), and keys of earlier batches are looked up in their shards instead of the state.
+    value of that column (null after all others), and keys of earlier batches are looked up in a table of keys beside the
+    checkpoint instead of the state. streaming.ledger has outcomes for files, bounded runs and one commit for all.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", name).parquet(source)
     unique = prepare(stream) if order else prepare(stream).dropDuplicates(list(keys))
+    known = f"{checkpoint.rstrip('/')}-keys"
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         if order:
-            batch = batch.groupBy(*keys).agg(F.min_by(F.struct(*batch.columns), order).alias("row")).select("row.*")
+            first = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("o"))
+            batch = batch.groupBy(*keys).agg(F.min_by(F.struct(*batch.columns), first).alias("row")).select("row.*")
+            ddl = ", ".join(f"`{k}` {t}" for k, t in batch.select(*keys).dtypes)
             if batch_id:
-                before = shards(batch.sparkSession, out).where(F.col("shard") < batch_id).select(*(F.col(k).alias(f"__{k}") for k in keys))
-                same = [batch[k].eqNullSafe(before[f"__{k}"]) for k in keys]
-                batch = batch.join(before, same, "left_anti")
+                before = batch.sparkSession.read.schema(f"{ddl}, batch int").parquet(known).where(F.col("batch") < batch_id).select(*(F.col(k).alias(f"__{k}") for k in keys))
+                batch = batch.join(before, [batch[k].eqNullSafe(before[f"__{k}"]) for k in keys], "left_anti")
         batch.write.mode("overwrite").parquet(f"{out}/shard={batch_id}")
+        if order:
+            own = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/shard={batch_id}")
+            own.select(*keys).write.mode("overwrite").parquet(f"{known}/batch={batch_id}")
 
     unique.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

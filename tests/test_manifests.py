@@ -94,6 +94,40 @@ def test_incremental_build(spark, tmp_path):
     assert got.count() == 48 and got.select("k").distinct().count() == 48
 
 
+def test_incremental_order(spark, tmp_path):
+    """Two batches: a null order loses to any other and keeps its key; a key of the first batch stays its."""
+    src, out, state = (str(tmp_path / x) for x in ("src", "out", "state"))
+    put = lambda rows: spark.createDataFrame(rows, "k string, o long, n string").coalesce(1).write.mode("append").parquet(src)
+    run = lambda: incremental.build(spark, src, "k string, o long, n string", out, state, ["k"], order="o")
+    put([("k1", None, "a"), ("k2", 5, "b"), ("k2", None, "c"), ("k2", 4, "d"), (None, 1, "e")])
+    run()
+    put([("k1", 1, "f"), ("k3", None, "g"), (None, 0, "h")])
+    run()
+    assert sorted((str(r.k), r.n) for r in incremental.shards(spark, out).collect()) == [("None", "e"), ("k1", "a"), ("k2", "d"), ("k3", "g")]
+
+
+def test_references(spark):
+    one = lambda rows, c: spark.createDataFrame(rows, f"k string, {c} string")
+    speakers, audio = one([(k, "") for k in "abcdef"], "x"), one([(k, "") for k in "abcdeea"], "x")
+    txt, lab = one([("a", " hi\n"), ("b", "\n"), ("c", None), ("e", "one"), ("e", "one")], "txt"), one([("b", "lab b"), ("d", "\tlab d "), ("c", "lab c")], "lab")
+    got = sorted((r.k, r.reference) for r in R.references(speakers, audio, txt, lab, "k").collect())
+    assert got == [("a", "hi"), ("b", None), ("c", None), ("d", "lab d"), ("e", "one")]
+
+
+def test_bounded_read(spark, tmp_path):
+    for i in range(120):
+        (tmp_path / f"{i:03d}.parquet").mkdir()
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    paths = []
+    for i in range(120):
+        paths.append(f"{tmp_path}/{i:03d}.parquet/x.parquet")
+        pq.write_table(pa.table({"i": [i]}), paths[-1])
+    assert io.read_bounded(spark, paths, F.lit(True)).count() == 120 and io.read_bounded(spark, paths, F.lit(True), most_files=7).count() == 7
+    assert io.read_bounded(spark, paths, F.col("i") > 3, n=5).count() == 5
+
+
 def test_sources(spark, tmp_path):
     files = spark.createDataFrame([(f"data/train-{x}",) for x in ("1-of-00653.parquet", "v2-3.parquet", "9-of-00724.parquet", "0-of-00653.parquet")], "path string")
     assert [r.gen for r in io.generations(files).collect()] == [0, 0, 1] and io.generations(files, partial=True).count() == 4
@@ -114,7 +148,7 @@ def test_loudness(spark):
     assert abs(max(got[1].o) - 0.1 * 10 ** ((-20 - got[1].l) / 20)) < 1e-6 and abs(max(got[2].o) - 0.7) < 1e-9 and set(got[3].o) == {0.0} and got[4].o is None
 
 
-def test_audio_forms_registry_and_stages(spark, tmp_path):
+def test_audio_forms_and_stages(spark, tmp_path):
     import io as memory
 
     from tessera.plans import stages
@@ -126,9 +160,6 @@ def test_audio_forms_registry_and_stages(spark, tmp_path):
     df = spark.createDataFrame([((bytearray(out.getvalue()), None, None),), ((None, [0.1], 4000),), ((None, None, None),)], "audio struct<bytes: binary, array: array<double>, sampling_rate: int>")
     got = [r.a for r in df.select(io.decode_audio(F.col("audio"), ["bytes", "array", "sampling_rate"]).alias("a")).collect()]
     assert [round(x, 4) for x in got[0].samples] == [0.5, -0.25] and got[0].sample_rate == 8000 and (got[1].samples, got[1].sample_rate) == ([0.1], 4000) and got[2].samples is None
-    for step in (1000, 2000):
-        io.append_registry(spark.createDataFrame([(step, 2.5)], "step long, val_loss double"), f"{tmp_path}/registry")
-    assert spark.read.json(f"{tmp_path}/registry").count() == 2
     io.write_split_files(spark.createDataFrame([(1, "train"), (2, "test")], "i int, split string"), f"{tmp_path}/m")
     assert spark.read.schema("i int").json(f"{tmp_path}/m_train.jsonl").collect()[0].i == 1 and spark.read.schema("i int").json(f"{tmp_path}/m_valid.jsonl").count() == 0
     clips = spark.createDataFrame([(1, "A"), (2, "C")], "i int, quality_grade string")
@@ -142,4 +173,7 @@ def test_audio_forms_registry_and_stages(spark, tmp_path):
         R.mapped(spark.createDataFrame([("b",)], "name string"), names, "name").collect()
     raw = spark.createDataFrame([("a.wav", "តម្លៃបញ្ចុះ 25%"), ("a.wav", "z"), (None, "x")], "audio_path string, text string")
     done = stages.run(raw, ["ingest", "normalize"]).collect()
-    assert len(done) == 1 and done[0].text_raw in ("តម្លៃបញ្ចុះ 25%", "z")
+    assert {r.text_raw for r in done} == {"តម្លៃបញ្ចុះ 25%", "z"}
+    clips = [("a", "s1", "1", "x"), ("b", "s1", "1", "y"), ("c", "s2", "1", "x"), ("d", "s1", "", "x"), ("e", "s1", None, "x"), ("f", "s1", "2", "x"), ("g", None, None, "x")]
+    got = stages.ingest(spark.createDataFrame(clips, "audio_path string, speaker_id string, sentence_id string, text string"))
+    assert sorted(r.audio_path for r in got.collect()) == ["a", "c", "d", "f", "g"]  # keyed by speaker and sentence, or text where there is no id

@@ -41,6 +41,25 @@ def exact_split(df: DataFrame, key: str, seed: int = 42, valid: float = 0.02, te
     return hashed.join(starts, "__b").withColumn("split", F.when(rank <= n_valid, "valid").when(rank <= n_valid + n_test, "test").otherwise("train")).drop("__h", "__b", "__before")
 
 
+def rounds(df: DataFrame, key: str, totals: Sequence[int], seed: int = 42) -> DataFrame:
+    """Rows of cumulative samples of the given sizes, with round, from 1, of the first sample that holds them: sample k is the
+    rows of rounds up to k. Samples are the first rows in the order of md5(seed|key), so another size changes no smaller one.
+
+    One pass counts the hashes' first four digits; only rows up to the digits that hold the largest sample are numbered.
+    """
+    if list(totals) != sorted(set(totals)) or not totals or totals[0] < 1:
+        raise ValueError("sizes grow")
+    hashed = df.withColumn("__h", md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))).withColumn("__b", F.substring("__h", 1, 4))
+    counts = hashed.groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))
+    upto = counts.withColumn("__sum", F.sum("__c").over(Window.orderBy("__b"))).where(F.col("__sum") >= totals[-1]).agg(F.min("__b")).first()[0]
+    few = hashed.where(F.col("__b") <= upto) if upto else hashed
+    rank = cuts.sequence(few, ["__h", key], name="__rank").where(F.col("__rank") <= totals[-1])
+    first = F.lit(len(totals))
+    for i, n in reversed(list(enumerate(totals[:-1]))):
+        first = F.when(F.col("__rank") <= n, i + 1).otherwise(first)
+    return rank.withColumn("round", first).drop("__h", "__b", "__rank")
+
+
 def speaker_sequence(df: DataFrame, speaker: Column, order: str, path: str = "seq") -> DataFrame:
     """df with speaker and its rows' 8-digit numbers from 1; a speaker's rows are spread over range partitions."""
     return cuts.sequence(df.withColumn("speaker", speaker), [order], ["speaker"], path).withColumn(path, F.format_string("%08d", path))

@@ -273,6 +273,11 @@ def gapped_sequence(spark: SparkSession, d: str) -> DataFrame:
     return R.gapped_sequence(t(spark, d, "documents").select("doc_id", "source", "lang"), "doc_id", F.col("lang") == "en", ["source"])
 
 
+@query("SELECT doc_id, CASE WHEN r <= 20 THEN 1 WHEN r <= 100 THEN 2 ELSE 3 END AS round FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) AS r FROM documents) WHERE r <= 500")
+def cumulative_rounds(spark: SparkSession, d: str) -> DataFrame:
+    return R.rounds(t(spark, d, "documents").select("doc_id"), "doc_id", [20, 100, 500])
+
+
 @query("SELECT source AS speaker, count(*)::BIGINT AS clips FROM documents GROUP BY source")
 def speaker_counts(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "documents").groupBy(F.col("source").alias("speaker")).agg(F.count(F.lit(1)).alias("clips"))

@@ -24,10 +24,13 @@ CANDIDATES = {
 GENERATIONS = (r"-of-00653", r"train-v\d+-\d+", r"-of-00724")
 
 
-def read_manifest(spark: SparkSession, paths: str | Sequence[str], schema: str = MANIFEST, strict: bool = True) -> DataFrame:
-    """One or more JSON-lines files. Bad lines raise; with strict off they are kept in _corrupt_record."""
+def read_manifest(spark: SparkSession, paths: str | Sequence[str], schema: str = MANIFEST, strict: bool = True, position: str | None = None) -> DataFrame:
+    """One or more JSON-lines files. Bad lines raise; with strict off they are kept in _corrupt_record. With ``position``
+    that column tells the lines' order (by file, then place in it)."""
     reader = spark.read.schema(schema if strict else f"{schema}, _corrupt_record string")
-    return reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").json(list(paths) if not isinstance(paths, str) else paths)
+    rows = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").json(list(paths) if not isinstance(paths, str) else paths)
+    # Ids grow within a block of a file, and blocks have their starts.
+    return rows.withColumn(position, F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))) if position else rows
 
 
 def union(manifests: Iterable[DataFrame]) -> DataFrame:
@@ -56,6 +59,12 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*metrics*.csv").option("ignoreCorruptFiles", True).csv(path)
 
 
+def latest_file(spark: SparkSession, path: str, pattern: str = "*") -> str | None:
+    """Of a folder's files of that name the last one written, of equally late ones the last by path; none if there is none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
+    return files.agg(F.max(F.struct("modificationTime", "path")).alias("m")).first()["m"]["path"] if not files.isEmpty() else None
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Stripped lines without blank ones."""
     return spark.read.text(path).select(T.strip(F.col("value")).alias("line")).where("line <> ''")
@@ -149,18 +158,6 @@ def decode_wav(content: Column) -> Column:
     return F.pandas_udf(_decode_wav, "samples array<double>, sample_rate int, channels int, frames bigint")(content)
 
 
-def decode_audio(audio: Column, fields: Sequence[str]) -> Column:
-    """samples and sample_rate of an audio struct: what is decoded already (array, sampling_rate), else its bytes."""
-    own = F.struct(audio["array"].cast("array<double>").alias("samples"), audio["sampling_rate"].cast("int").alias("sample_rate")) if "array" in fields else None
-    read = None
-    if "bytes" in fields:
-        wav = decode_wav(F.when(audio["array"].isNull(), audio["bytes"]) if own is not None else audio["bytes"])
-        read = F.struct(wav["samples"].alias("samples"), wav["sample_rate"].alias("sample_rate"))
-    if own is None or read is None:
-        return own if read is None else read
-    return F.when(audio["array"].isNotNull(), own).otherwise(read)
-
-
 def probe_wav(content: Column) -> Column:
     """The header of WAV bytes."""
     return F.pandas_udf(_probe_wav, "sample_rate int, channels int, frames bigint")(content)

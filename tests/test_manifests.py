@@ -9,7 +9,7 @@ from tessera.functions import signal as S
 from tessera.functions.hashing import bucket
 from tessera.operators import quality as Q
 from tessera.operators import relational as R
-from tessera.sources import io
+from tessera.sources import audio, io
 from tessera.streaming import incremental
 
 
@@ -106,6 +106,25 @@ def test_incremental_order(spark, tmp_path):
     assert sorted((str(r.k), r.n) for r in incremental.shards(spark, out).collect()) == [("None", "e"), ("k1", "a"), ("k2", "d"), ("k3", "g")]
 
 
+def test_latest_file(spark, tmp_path):
+    import os
+
+    for name, at in (("a.ckpt", 300), ("b.ckpt", 200), ("c.txt", 900), ("d.ckpt", 300)):
+        (tmp_path / name).write_text("x")
+        os.utime(tmp_path / name, (at, at))
+    assert io.latest_file(spark, str(tmp_path), "*.ckpt").endswith("/d.ckpt") and io.latest_file(spark, str(tmp_path), "*.none") is None
+
+
+def test_rounds(spark):
+    df = spark.range(3000).select("id")
+    got = [{r.id for r in R.rounds(df, "id", [20, 100, 1000]).where(F.col("round") <= k).collect()} for k in (1, 2, 3)]
+    assert [len(g) for g in got] == [20, 100, 1000] and got[0] < got[1] < got[2]
+    more = {r.id for r in R.rounds(df, "id", [20, 100, 1000, 9000]).where("round <= 3").collect()}
+    assert more == got[2] and R.rounds(df, "id", [20, 9000]).count() == 3000 and R.rounds(df.where("false"), "id", [5]).count() == 0
+    with pytest.raises(ValueError):
+        R.rounds(df, "id", [20, 20])
+
+
 def test_references(spark):
     one = lambda rows, c: spark.createDataFrame(rows, f"k string, {c} string")
     speakers, audio = one([(k, "") for k in "abcdef"], "x"), one([(k, "") for k in "abcdeea"], "x")
@@ -146,6 +165,8 @@ def test_loudness(spark):
     got = {r.i: r for r in rows.withColumn("l", S.loudness(F.col("s"), F.col("r"))).withColumn("o", S.to_loudness(F.col("s"), F.col("l"))).collect()}
     assert abs(got[0].l + 3.01) < 0.05 and abs(got[1].l + 23.01) < 0.1  # a full-scale tone of 997 Hz reads -3.01
     assert abs(max(got[1].o) - 0.1 * 10 ** ((-20 - got[1].l) / 20)) < 1e-6 and abs(max(got[2].o) - 0.7) < 1e-9 and set(got[3].o) == {0.0} and got[4].o is None
+    for r in rows.where("s is not null").collect():
+        assert all(abs(a - b) < 1e-9 for a, b in zip(S.leveled(r.s, r.r), got[r.i].o, strict=True))
 
 
 def test_audio_forms_and_stages(spark, tmp_path):
@@ -158,8 +179,8 @@ def test_audio_forms_and_stages(spark, tmp_path):
         w.setnchannels(1), w.setsampwidth(3), w.setframerate(8000)
         w.writeframes(b"".join(int(x * (1 << 23)).to_bytes(3, "little", signed=True) for x in (0.5, -0.25)))
     df = spark.createDataFrame([((bytearray(out.getvalue()), None, None),), ((None, [0.1], 4000),), ((None, None, None),)], "audio struct<bytes: binary, array: array<double>, sampling_rate: int>")
-    got = [r.a for r in df.select(io.decode_audio(F.col("audio"), ["bytes", "array", "sampling_rate"]).alias("a")).collect()]
-    assert [round(x, 4) for x in got[0].samples] == [0.5, -0.25] and got[0].sample_rate == 8000 and (got[1].samples, got[1].sample_rate) == ([0.1], 4000) and got[2].samples is None
+    got = [r.a for r in df.select(audio.decode(F.col("audio"), ["bytes", "array", "sampling_rate"]).alias("a")).collect()]
+    assert [round(x, 4) for x in got[0].samples] == [0.5, -0.25] and got[0].sample_rate == 8000 and (got[1].samples, got[1].sample_rate) == ([0.1], 4000) and (got[2] is None or got[2].samples is None)
     io.write_split_files(spark.createDataFrame([(1, "train"), (2, "test")], "i int, split string"), f"{tmp_path}/m")
     assert spark.read.schema("i int").json(f"{tmp_path}/m_train.jsonl").collect()[0].i == 1 and spark.read.schema("i int").json(f"{tmp_path}/m_valid.jsonl").count() == 0
     clips = spark.createDataFrame([(1, "A"), (2, "C")], "i int, quality_grade string")

@@ -156,7 +156,7 @@ class Tree:
             for same in np.split(by, np.flatnonzero(np.diff(node[by])) + 1):
                 at, leaf = rows[same], int(node[same[0]]) - inner
                 a, b = int(self.ends[leaf]), int(self.ends[leaf + 1])
-                s = q[at] @ (self.x[a:b] if exact else _whole(self.x[a:b])).T
+                s = q[at] @ self.x[a:b].T if exact else np.clip(q[at] @ _whole(self.x[a:b]).T, -_LONG, _LONG)
                 visits += len(at)
                 s = np.repeat(s, self.held[a:b], axis=1)
                 ids = np.broadcast_to(self.ids[first[a] : first[b]], s.shape)
@@ -284,8 +284,7 @@ def _answered(asked: DataFrame, trees: DataFrame, plan: Plan) -> DataFrame:
                 qs, least = np.frombuffer(row["qs"], np.int64), np.frombuffer(row["least"])
                 s, i, _ = tree.search(np.frombuffer(row["qv"]).reshape(-1, width), least, k, exact)
                 hit = s > -np.inf
-                whole = [max(-_LONG, min(_LONG, int(x))) for x in s[hit].tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qs, hit.sum(1))), pa.array([-x for x in whole], pa.int64()), pa.array(i[hit])], names=["q", "s", "i"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qs, hit.sum(1))), pa.array(-s[hit].astype(np.int64)), pa.array(i[hit])], names=["q", "s", "i"])
 
     return asked.join(trees, "cell").select("qs", "qv", "least", *_PARTS).mapInArrow(run, _FOUND)
 

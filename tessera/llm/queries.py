@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, conversations, html_text, kd_search, licences, lines, mix, ngram_join, nn_descent, pseudonyms, rules, runs, tokenfiles
 from .common import materialize, shared_path, table
-from .sql import ABLATION_SQL, LINES_SQL, RULES_SQL, mix_sql
+from .sql import ABLATION_SQL, LINES_SQL, REPAIR_SQL, RULES_SQL, RUNS_SQL, SEARCH_SQL, mix_sql
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Public, as the tables are made up; real texts need a secret one.
@@ -87,4 +87,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix, op2_pseudonyms, op3_html_text, op4_rules, op5_nn_descent, op6_token_files, op7_licences, op8_ngram_join, op9_line_dedup, op10_bpe, op11_kd_search, op12_conversation_repair, op13_periodic_runs, ablation_rules)}
-ORACLES = {"op1_mix": mix_sql(), "op4_rules": RULES_SQL, "op9_line_dedup": LINES_SQL, "ablation_rules": ABLATION_SQL}
+ORACLES = {
+    "op1_mix": mix_sql(), "op4_rules": RULES_SQL, "op9_line_dedup": LINES_SQL, "op11_kd_search": SEARCH_SQL, "op12_conversation_repair": REPAIR_SQL, "op13_periodic_runs": RUNS_SQL, "ablation_rules": ABLATION_SQL
+}

@@ -23,6 +23,8 @@ PUNCTUATION = (("…", "។"), ("..", "."), ("‘", "'"), ("’", "'"), ("“",
 ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 COENG = "\u17d2"
 
+#: What one space stands for: a lone space stays as it is, so that most of a text is passed over.
+_BLANKS = r"[ \t\u00a0]{2,}|[\t\u00a0]"
 _AMOUNT = r"-?(?:\p{Nd}{1,3}(?:,\p{Nd}{3})+|\p{Nd}+)"
 _BEFORE, _AFTER = rf"(?<!{WORD})", rf"(?!{WORD})"
 PATTERNS = {
@@ -31,10 +33,10 @@ PATTERNS = {
     "riel_after": rf"({_AMOUNT}(?:\.\p{{Nd}}+)?){SPACE}*៛",
     "riel_word": rf"({_AMOUNT}(?:\.\p{{Nd}}+)?){SPACE}*{RIEL}",
     "full_date": rf"{DAY}{SPACE}*([0-9០-៩]{{1,2}}){SPACE}*{MONTH}{SPACE}*([0-9០-៩]{{1,2}}|[ក-អ]+){SPACE}*{YEAR}{SPACE}*([0-9០-៩]{{4}})",
-    "numeric_date": rf"{_BEFORE}([0-3]?[0-9])[/\-]([01]?[0-9])[/\-]([12][0-9]{{3}}){_AFTER}",
+    "numeric_date": rf"(?=[0-9]){_BEFORE}([0-3]?[0-9])[/\-]([01]?[0-9])[/\-]([12][0-9]{{3}}){_AFTER}",
     "year": rf"{YEAR}{SPACE}*([0-9០-៩]{{4}})",
     "percent": rf"(-?\p{{Nd}}+(?:\.\p{{Nd}}+)?){SPACE}*%",
-    "number": rf"(?<![\p{{L}}\p{{N}}_.]){_AMOUNT}(?:\.\p{{Nd}}+)?{_AFTER}",
+    "number": rf"(?=[-\p{{Nd}}])(?<![\p{{L}}\p{{N}}_.]){_AMOUNT}(?:\.\p{{Nd}}+)?{_AFTER}",
     "khmer_number": r"[០-៩]+(?:\.[០-៩]+)?",
 }
 
@@ -98,8 +100,13 @@ def _raw(m: Column, name: str, n: int = 1) -> Column:
 
 
 def currency(text: Column) -> Column:
-    for near in (r"(?<=[$៛])[០-៩,.]+", rf"[០-៩,.]+(?={SPACE}*៛)", rf"[០-៩,.]+(?={SPACE}*{RIEL})"):
-        text = sub(text, near, arabic_digits)
+    def latin(t: Column) -> Column:
+        """t with the Khmer digits of amounts as ASCII ones."""
+        for near, sign in ((r"(?<=[$៛])[០-៩,.]+", "$៛"), (rf"[០-៩,.]+(?={SPACE}*៛)", "៛"), (rf"[០-៩,.]+(?={SPACE}*{RIEL})", (RIEL,))):
+            t = sub(t, near, arabic_digits, sign)
+        return t
+
+    text = let(text, lambda t: F.when(t.rlike("[០-៩]"), latin(t)).otherwise(t))
 
     def dollars(m: Column) -> Column:
         def of(raw: Column) -> Column:
@@ -109,9 +116,9 @@ def currency(text: Column) -> Column:
 
         return let(arabic_digits(_raw(m, "dollar")), of)
 
-    text = sub(text, PATTERNS["dollar"], dollars)
-    for name in ("riel_before", "riel_after", "riel_word"):
-        text = sub(text, PATTERNS[name], _riels(name))
+    text = sub(text, PATTERNS["dollar"], dollars, "$")
+    for name, sign in (("riel_before", "៛"), ("riel_after", "៛"), ("riel_word", RIEL)):
+        text = sub(text, PATTERNS[name], _riels(name), (sign,))
     return text
 
 
@@ -139,18 +146,18 @@ def dates(text: Column) -> Column:
         number = group(m, numeric, 2).cast("int")
         return _date(group(m, numeric, 1), F.when(number.between(1, 12), _month(number.cast("string"), number)).otherwise(number.cast("string")), group(m, numeric, 3))
 
-    text = sub(text, full, named)
-    text = sub(text, numeric, slashed)
-    return sub(text, year, lambda m: F.concat(F.lit(YEAR), number_words(group(m, year, 1))))
+    text = sub(text, full, named, (DAY,))
+    text = sub(text, numeric, slashed, ("/1", "/2", "-1", "-2"))
+    return sub(text, year, lambda m: F.concat(F.lit(YEAR), number_words(group(m, year, 1))), (YEAR,))
 
 
 def percent(text: Column) -> Column:
-    return sub(text, PATTERNS["percent"], lambda m: F.concat(number_words(group(m, PATTERNS["percent"], 1)), F.lit(PERCENT)))
+    return sub(text, PATTERNS["percent"], lambda m: F.concat(number_words(group(m, PATTERNS["percent"], 1)), F.lit(PERCENT)), "%")
 
 
 def numbers(text: Column) -> Column:
     text = sub(text, PATTERNS["number"], lambda m: number_words(F.replace(m, F.lit(","), F.lit(""))))
-    return sub(text, PATTERNS["khmer_number"], number_words)
+    return let(text, lambda t: F.when(t.rlike("[០-៩]"), sub(t, PATTERNS["khmer_number"], number_words)).otherwise(t))
 
 
 def nfc(text: Column) -> Column:
@@ -167,15 +174,16 @@ def clean(text: Column, compose: bool = True) -> Column:
     """NFC, no zero-width characters, LF line ends, single spaces and line ends, stripped."""
     if compose:
         text = nfc(text)
-    text = F.translate(text, ZERO_WIDTH, "")
-    for pattern, new in (("\r\n?", "\n"), (r"[ \t\u00a0]+", " "), (r"\n{2,}", "\n")):
+    text = F.regexp_replace(text, f"[{ZERO_WIDTH}]+", "")
+    for pattern, new in (("\r\n?", "\n"), (_BLANKS, " "), (r"\n{2,}", "\n")):
         text = F.regexp_replace(text, pattern, new)
     return strip(text)
 
 
 def ordering(text: Column) -> Column:
     """One coeng for several; none before white space or the end."""
-    return F.regexp_replace(F.regexp_replace(text, f"{COENG}{COENG}+", COENG), rf"{COENG}(?={SPACE}|\z)", "")
+    fixed = lambda t: F.regexp_replace(F.regexp_replace(t, f"{COENG}{COENG}+", COENG), rf"{COENG}(?={SPACE}|\z)", "")
+    return let(text, lambda t: F.when(t.contains(COENG), fixed(t)).otherwise(t))
 
 
 def punctuation(text: Column) -> Column:
@@ -190,7 +198,7 @@ def normalize(df: DataFrame, column: str = "text", compose: bool = True) -> Data
     A projection a step: one expression of all would nest more lambdas than the analyzer resolves. They are
     joined to one stage when the plan is optimized.
     """
-    for step in (lambda t: clean(t, compose), ordering, punctuation, currency, dates, percent, numbers, lambda t: strip(F.regexp_replace(t, r"[ \t\u00a0]+", " "))):
+    for step in (lambda t: clean(t, compose), ordering, punctuation, currency, dates, percent, numbers, lambda t: strip(F.regexp_replace(t, _BLANKS, " "))):
         df = df.withColumn(column, step(F.col(column)))
     return df
 

@@ -1,4 +1,4 @@
-"""Measures and edits of sample arrays, as native array functions. Samples are doubles in [-1, 1]."""
+"""Measures of sample arrays, as numpy under Arrow, and edits, as native array functions. Samples are doubles in [-1, 1]."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ def _sum(xs: Column) -> Column:
     return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
 
 
-def decibels(v: Column) -> Column:
+def _decibels(v: Column) -> Column:
     return F.lit(20.0) * F.log10(F.greatest(v, F.lit(FLOOR)))
 
 
@@ -24,61 +24,66 @@ def peak(s: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(s, lambda x: F.abs(x))), F.lit(0.0))
 
 
-def rms(s: Column) -> Column:
-    return F.when(F.size(s) > 0, F.sqrt(_sum(F.transform(s, lambda x: x * x)) / F.size(s))).otherwise(0.0)
+def frame_length(rate: Column, seconds: float = 0.02) -> Column:
+    return F.greatest((F.lit(seconds) * rate).cast("int"), F.lit(1))
 
 
-def clipping(s: Column) -> Column:
-    return F.when(F.size(s) > 0, F.size(F.filter(s, lambda x: F.abs(x) >= CLIPPED)) / F.size(s)).otherwise(1.0)
+def _levels(x, frame: int):
+    """The level in dB of each whole frame; none for a signal shorter than one."""
+    import numpy as np
 
+    n = len(x) // frame
+    return 20 * np.log10(np.maximum(np.sqrt((x[: n * frame].reshape(n, frame) ** 2).mean(axis=1)), FLOOR)) if n else np.zeros(0)
 
-def frame_levels(s: Column, frame: Column) -> Column:
-    """The level in dB of each whole frame; none for a signal shorter than one."""
-    n = F.floor(F.size(s) / frame).cast("int")
-    at = lambda i: decibels(rms(F.slice(s, (i * frame + 1).cast("int"), frame.cast("int"))))
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<double>"))
 
+def _samples(x):
+    """An array as Arrow hands it over; none is empty, and so is a null in it silence."""
+    import numpy as np
 
-def frame_length(rate: Column, seconds: float = 0.02) -> Column:
-    return F.greatest((F.lit(seconds) * rate).cast("int"), F.lit(1))
+    return np.zeros(0) if x is None else np.nan_to_num(np.asarray(x, np.float64), nan=0.0)
 
 
-def silence(levels: Column) -> Column:
-    return F.when(F.size(levels) > 0, F.size(F.filter(levels, lambda x: x < SILENT_DB)) / F.size(levels)).otherwise(1.0)
+def _measures(samples: pd.Series, frame: pd.Series) -> pd.DataFrame:
+    import numpy as np
+
+    rows = []
+    for s, f in zip(samples, frame, strict=True):
+        x = _samples(s)
+        levels = _levels(x, max(1, int(f)))
+        rows.append((len(x) if s is not None else None, np.abs(x).max(initial=0.0), np.sqrt((x * x).mean()) if len(x) else 0.0, (np.abs(x) >= CLIPPED).mean() if len(x) else 1.0, (levels < SILENT_DB).mean() if len(levels) else 1.0))
+    return pd.DataFrame(rows, columns=["n", "peak", "rms", "clipping", "silence"])
 
 
 def metrics(samples: Column, rate: Column, frame: Column | None = None) -> Column:
-    """struct of duration, peak_db, rms_db, clipping_ratio and silence_ratio, rounded as the grades read them."""
+    """struct of duration, peak_db, rms_db, clipping_ratio and silence_ratio, rounded as the grades read them. A clip's samples
+    are worked on as one numpy array; no samples are silence and clipped."""
     frame = frame_length(rate) if frame is None else frame
-    return let(
-        samples.cast("array<double>"),
-        lambda s: F.struct(
-            F.round(F.size(s) / rate, 3).alias("duration"), F.round(decibels(peak(s)), 2).alias("peak_db"), F.round(decibels(rms(s)), 2).alias("rms_db"),
-            F.round(clipping(s), 4).alias("clipping_ratio"), F.round(silence(frame_levels(s, frame)), 4).alias("silence_ratio"),
-        ),
+    m = F.pandas_udf(_measures, "n bigint, peak double, rms double, clipping double, silence double")(samples.cast("array<double>"), F.coalesce(frame, F.lit(1)))
+    return F.struct(
+        F.round(m["n"] / rate, 3).alias("duration"), F.round(_decibels(m["peak"]), 2).alias("peak_db"), F.round(_decibels(m["rms"]), 2).alias("rms_db"),
+        F.round(m["clipping"], 4).alias("clipping_ratio"), F.round(m["silence"], 4).alias("silence_ratio"),
     )
 
 
 def trim_bounds(samples: Column, frame: Column, pad: Column, threshold: float = SILENT_DB) -> Column:
     """struct of first (inclusive) and last (exclusive): what lies between voiced frames, padded; all if none is."""
 
-    def of(s: Column) -> Column:
-        def cut(v: Column) -> Column:
-            first = F.array_position(v, True).cast("int") - 1
-            last = F.size(v) - F.array_position(F.reverse(v), True).cast("int")
-            voiced = F.exists(v, lambda x: x)
-            return F.struct(
-                F.when(voiced, F.greatest(F.lit(0), first * frame - pad)).otherwise(0).cast("int").alias("first"),
-                F.when(voiced, F.least(F.size(s), (last + 1) * frame + pad)).otherwise(F.size(s)).cast("int").alias("last"),
-            )
+    def run(samples: pd.Series, frame: pd.Series, pad: pd.Series) -> pd.DataFrame:
+        import numpy as np
 
-        return let(F.transform(frame_levels(s, frame), lambda x: x >= threshold), cut)
+        rows = []
+        for s, f, p in zip(samples, frame, pad, strict=True):
+            x = _samples(s)
+            voiced = np.flatnonzero(_levels(x, max(1, int(f))) >= threshold)
+            rows.append((max(0, voiced[0] * f - p), min(len(x), (voiced[-1] + 1) * f + p)) if len(voiced) else (0, len(x)))
+        return pd.DataFrame(rows, columns=["first", "last"])
 
-    return let(samples.cast("array<double>"), of)
+    return F.pandas_udf(run, "first int, last int")(samples.cast("array<double>"), frame, pad)
 
 
 def trim(samples: Column, frame: Column, pad: Column) -> Column:
-    return let(trim_bounds(samples, frame, pad), lambda b: F.slice(samples, b["first"] + 1, b["last"] - b["first"]))
+    bounds = trim_bounds(samples, frame, pad)
+    return F.slice(samples, bounds["first"] + 1, bounds["last"] - bounds["first"])
 
 
 def cap_peak(samples: Column, most: float = 0.98) -> Column:

@@ -2,14 +2,16 @@
 
 Validated values are found and replaced by keyed permutations of themselves within their format:
 
-- card numbers (13 to 19 digits in one to 19 groups that pass the Luhn check; from each place the longest such row of
-  groups counts, whatever digits stand beside it): all digits but the last are permuted, the last is made the check
-  digit again;
+- card numbers (13 to 19 digits in one to 19 groups, single spaces or hyphens between them, that pass the Luhn check; from
+  each place the longest such row of groups counts, whatever digits stand beside it; also four groups of four with points):
+  all digits but the last are permuted, the last is made the check digit again;
 - dates (calendar days, four-digit years): permuted among the days of their century;
 - IPv4 addresses: four numbers below 256; a number with leading zeros gets leading zeros, three digits in all;
 - social security numbers: area, group and serial numbers within the ranges in use;
-- telephone numbers, with + and country code or in the forms (999) 999-9999, 999-999-9999 and 999.999.9999 (country
-  code 1): digits after the country code, separators stay;
+- telephone numbers, with + and country code (as many digits as the code has where that is fixed, else 8 to 15, up to
+  where another value begins) or in the forms (999) 999-9999, 999-999-9999, 999.999.9999, and the last two behind 1- and 1.
+  (country (country code 1): digits after the country code, separators stay. Where the code's length is not known, digits that follow
+  behind a blank count as the number's, which hides them but does not link it. National forms of other countries stay in clear;
 - e-mail addresses (local part of 64 characters at most): ASCII letters and digits of the local part and of the first
   label after the @, each within its kind. The rest of the domain stays; other letters stay.
 
@@ -29,6 +31,8 @@ result.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,31 +41,54 @@ from .common import let, unused
 ROUNDS = 8
 
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+\.[A-Za-z0-9][A-Za-z0-9.-]{0,190}(?<![.])"
-_DATE = r"(?<![\p{N}./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![\p{N}/-]|\.[0-9])"
-_IP = r"(?<![\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{N}]|\.[0-9])"
-_SSN = r"(?<![\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}]|-[0-9])"
-_PHONE = (
-    r"(?<![\p{N}+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\p{N}])|(?<![\p{N}])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![\p{N}]|-[0-9])"
-    r"|(?<![\p{N}.-])[0-9]{3}([-.])[0-9]{3}\1[0-9]{4}(?![\p{N}]|[.-][0-9])"
+_DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9/-]|\.[0-9])"
+_IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+_SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
+_DOTTED = r"(?<![0-9.])[0-9]{4}\.[0-9]{4}\.[0-9]{4}\.[0-9]{4}(?![0-9]|\.[0-9])"
+# The country codes of one and of two digits; all others have three. And the digits after some codes, where
+# their number is fixed.
+CODES = {1: "1 7".split(), 2: "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+NATIONAL = {9: "31 33 34 41 48 61".split(), 10: "1 7 44 91".split(), 11: "86".split()}
+
+_LOCAL = r"(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}|(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4})(?![0-9]|[.-][0-9])"
+#: Where another value begins, a telephone number of unknown length ends.
+_OTHER = (
+    r"[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4}|[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9]{3}-[0-9]{2}-[0-9]{4}"
+    r"|[0-9]{4}(?:[ .-][0-9]{4}){3}(?![ .-]?[0-9]{4})|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![0-9])|[0-9]{13}"
 )
+
+
+def _steps(least: int, most: int, guard: str = "", ahead: str = "") -> str:
+    """So many digits, with up to two separators before each, but not where the guards find something."""
+    return rf"(?:(?:{ahead}[ .()-]{{1,2}}{guard})?[0-9]){{{least},{most}}}"
+
+
+def _abroad() -> str:
+    """+, country code and number: as many digits as the code has, if that is known, else 8 to 15 in all."""
+    fixed = "|".join(f"(?:{'|'.join(codes)}){_steps(n, n)}" for n, codes in NATIONAL.items())
+    free = _steps(7, 14, f"(?!{_OTHER}|{_LOCAL})", rf"(?![ .-]?{_LOCAL})")
+    return rf"(?<![0-9+])\+(?:(?:{fixed})(?![0-9])|[0-9]{free}(?![0-9]))"
+
+
+_PHONE = rf"{_abroad()}|(?<![0-9.-]){_LOCAL}"
 #: In the order in which they are tried at a place; a value begins with a digit, + or ( unless it is an address.
-KINDS = {"date": _DATE, "ip": _IP, "ssn": _SSN, "phone": _PHONE}
+KINDS = {"date": _DATE, "ip": _IP, "ssn": _SSN, "dotted": _DOTTED, "phone": _PHONE}
 _NUMBERS = "(?=[0-9+(])(?:" + "|".join(KINDS.values()) + ")"
 _ANY = _EMAIL + "|" + _NUMBERS
-#: Digits, with single spaces or hyphens between their groups (more of them end a row of groups).
-_RUN = r"(?<![\p{N}+])[0-9][0-9 -]*+(?!\p{N})"
+#: Digits, with spaces or hyphens between their groups (more than one of them end a row of groups), up to the last digit.
+_RUN = r"(?<![0-9+])[0-9](?:[ -]*+[0-9])*+"
 _LONG_RUN = "[0-9](?:[ -]?[0-9]){12}"
 #: Stands around what is found while a text is cut.
 _MARK = ""
 
-# The country codes of one and of two digits; all others have three.
-CODES = {1: "1 7".split(), 2: "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
-
 
 def _draw(key: str, kind: str, turn: Column, i: Column, other: Column) -> Column:
-    """A keyed 48-bit number."""
-    said = F.concat_ws("|", F.lit(f"{key}|{kind}"), turn.cast("string"), i.cast("string"), F.array_join(F.transform(other, lambda x: x.cast("string")), ","))
-    return F.conv(F.substring(F.sha2(said.cast("binary"), 256), 1, 12), 16, 10).cast("long")
+    """A keyed 48-bit number, by HMAC-SHA-256."""
+    said = F.concat_ws("|", F.lit(kind), turn.cast("string"), i.cast("string"), F.array_join(F.transform(other, lambda x: x.cast("string")), ","))
+    block = key.encode() if len(key.encode()) <= 64 else hashlib.sha256(key.encode()).digest()
+    inner, outer = (F.lit(bytearray(b ^ pad for b in block.ljust(64, b"\0"))) for pad in (0x36, 0x5C))
+    digest = F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, said.cast("binary")), 256))), 256)
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
 
 
 def feistel(values: Column, radices: Column, key: str, kind: str, backwards: bool = False) -> Column:
@@ -186,15 +213,16 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The digits after the country code are permuted, whatever stands between them; 8 to 15 digits make a number."""
-    digits = F.when(m.startswith("+"), _digits(m)).otherwise(F.concat(F.lit("1"), _digits(m)))
+    """The digits after the country code are permuted, whatever stands between them."""
+    has_code = m.startswith("+") | (F.length(_digits(m)) > 10)
+    digits = F.when(has_code, _digits(m)).otherwise(F.concat(F.lit("1"), _digits(m)))
     code = lambda d: F.when(F.substring(d, 1, 1).isin(CODES[1]), 1).when(F.substring(d, 1, 2).isin(CODES[2]), 2).otherwise(3)
 
     def of(d: Column) -> Column:
         own = _numbers(F.substr(d, code(d) + 1))
-        kept = F.when(m.startswith("+"), F.split(F.substring(d, F.lit(1), code(d)), "")).otherwise(F.array().cast("array<string>"))
+        kept = F.when(has_code, F.split(F.substring(d, F.lit(1), code(d)), "")).otherwise(F.array().cast("array<string>"))
         put = lambda v: _refill(m, F.concat(kept, _strings(v)), "[0-9]")
-        return F.when(F.length(d).between(8, 15), let(feistel(own, _tens(own), key, "phone"), put)).otherwise(m)
+        return let(feistel(own, _tens(own), key, "phone"), put)
 
     return let(digits, of)
 
@@ -223,7 +251,7 @@ def _email(m: Column, key: str) -> Column:
 def replaced(m: Column, key: str) -> Column:
     """The pseudonym of one match, or the match itself if it is no valid value."""
     whole = lambda k: m.rlike(f"^(?:{KINDS[k]})$")
-    return F.when(m.contains("@"), _email(m, key)).when(whole("date"), _date(m, key)).when(whole("ip"), _ip(m, key)).when(whole("ssn"), _ssn(m, key)).otherwise(_phone(m, key))
+    return F.when(m.contains("@"), _email(m, key)).when(whole("date"), _date(m, key)).when(whole("ip"), _ip(m, key)).when(whole("ssn"), _ssn(m, key)).when(whole("dotted"), _card(m, key)).otherwise(_phone(m, key))
 
 
 def _in_run(run: Column, key: str) -> Column:

@@ -189,6 +189,30 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(41)) and all(got[i] == 100 for i in range(100, 140))
 
 
+PERSONAL = ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "4111.1111.1111.1111", "378282246310005", "2024-02-29", "29/02/2024", "29.02.2024", "10.20.30.40", "078-05-1120", "+1 555 010 9999", "+15550109999",
+            "+1 (555) 010-9999", "(555) 010-9999", "555-010-9999", "555.010.9999", "1-555-010-9999", "+44 20 7946 0958", "+855 12 345 678", "+49 30 901820"]
+
+
+def test_no_value_hides_another(spark):
+    """Every kind directly beside every other."""
+    between = [" ", ", ", "\n", "; ", " ½ ", " ² ", "², ", " ៥ ", " and "]
+    texts = [f"{a}{s}{b}" for a in PERSONAL for b in PERSONAL for s in between] + PERSONAL + [f"{a} 12 apples" for a in PERSONAL]
+    got = [r.text for r in pseudonymize_all(spark, texts)]
+    alone = dict(zip(PERSONAL, got[-2 * len(PERSONAL) : -len(PERSONAL)], strict=True))
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    form = lambda x: re.sub("[0-9]", "9", x)
+    assert all(new != old and (form(new) == form(old) or old == "10.20.30.40") for old, new in alone.items())
+    assert len({digits(alone[x])[-10:] for x in PERSONAL if digits(x)[-10:] == "5550109999"}) == 1 and len({digits(alone[x]) for x in PERSONAL[:4]}) == 1
+    want = [f"{alone[a]}{s}{alone[b]}" for a in PERSONAL for b in PERSONAL for s in between]
+    assert [(x, g, w) for x, g, w in zip(texts, got, want, strict=False) if g != w] == []
+    # Numbers of a country whose length is not known take what follows with them.
+    assert all(g == f"{alone[x]} 12 apples" for x, g in zip(PERSONAL[:-2], got[-len(PERSONAL) :], strict=False))
+
+
+def pseudonymize_all(spark, texts):
+    return pseudonyms.pseudonymize(documents(spark, texts).repartition(8, "doc_id"), "k").orderBy("doc_id").collect()
+
+
 def test_pseudonyms(spark):
     texts = ["card 4111 1111 1111 1111 and 4111111111111111, not 4111111111111112", "on 2024-02-29 or 29/02/2024, not 30/02/2024", "ip 10.0.0.1 no 300.1.1.1", "078-05-1120 666-12-3456", "+1 (555) 010-9999", "A.b9@Mail.example.com a.b9@mail.example.com"]
     got = [r.text for r in pseudonyms.pseudonymize(documents(spark, [*texts, None, ""]), "k").orderBy("doc_id").collect()]

@@ -9,8 +9,9 @@ pairs that have not met at this middle node before, and that beat the last of a
 Rounds go on until one changes no more than FEW of the edges; lists only improve, so they end. A query starts
 from its own node's neighbours and walks the edges in both directions: it expands those of its best BEAM nodes that it
 has not expanded yet, until there are none. The beam then doubles for each query until a doubling changes no more
-than STABLE of its k best. Walks go by single precision; the scores of the result are exact inner products in
-double precision of the original vectors.
+than STABLE of its k best. Walks go by single precision of vectors that are scaled by their largest component, which is kept
+beside them, so magnitudes neither overflow nor vanish; the result's order and scores are inner products in double precision
+of the original vectors.
 
 A node meets others only inside blocks of LEAF rows or through lists of at most DEGREE edges in each direction.
 Edges into a hub, of which there may be as many as nodes, and the ids of a vector's copies are cut to the first few by
@@ -63,7 +64,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _leaves(nodes: DataFrame, blocks_bits: int) -> DataFrame:
-    """(tree, leaf, node, v): each node once a tree, by the signs of projections that the seed fixes."""
+    """(tree, leaf, node, v, w): each node once a tree, by the signs of projections that the seed fixes."""
 
     def run(batches):
         import pyarrow as pa
@@ -74,9 +75,9 @@ def _leaves(nodes: DataFrame, blocks_bits: int) -> DataFrame:
             for t in range(TREES):
                 signs = x @ draw.standard_normal((x.shape[1], max(1, blocks_bits))) > 0
                 leaf = signs[:, :blocks_bits] @ (1 << np.arange(blocks_bits)) if blocks_bits else np.zeros(len(x), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(leaf.astype(np.int64)), b.column(0), b.column(1)], names=["tree", "leaf", "node", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(leaf.astype(np.int64)), *b.columns], names=["tree", "leaf", "node", "v", "w"])
 
-    return nodes.select("node", "v").mapInArrow(run, "tree int, leaf bigint, node bigint, v array<float>")
+    return nodes.select("node", "v", "w").mapInArrow(run, "tree int, leaf bigint, node bigint, v array<float>, w double")
 
 
 _EDGES = "a bigint, b bigint, score double"
@@ -94,7 +95,7 @@ def _within(table):
     x = _matrix(table.column("v").combine_chunks())
     if len(ids) < 2:
         return _edges([], [], [])
-    s = x @ x.T
+    s = (x @ x.T) * table.column("w").to_numpy()
     np.fill_diagonal(s, -np.inf)
     at = _best(s, ids, min(DEGREE, len(ids) - 1))
     return _edges(np.repeat(ids, at.shape[1]), ids[at].ravel(), np.take_along_axis(s, at, 1).ravel())
@@ -117,12 +118,12 @@ def _flat(lists: DataFrame) -> DataFrame:
     return lists.select("a", F.explode("n").alias("e")).select("a", F.col("e.b").alias("b"), F.col("e.score").alias("score"))
 
 
-def _met(ids: np.ndarray, x: np.ndarray, least: np.ndarray, new: np.ndarray):
+def _met(ids: np.ndarray, x: np.ndarray, w: np.ndarray, least: np.ndarray, new: np.ndarray):
     """All neighbours of one node meet: the edges that are new and better than the last of the node's list.
     No more than DEGREE of them can stay in the list."""
     if len(ids) < 2:
         return ids[:0], ids[:0], np.zeros(0)
-    s = x @ x.T
+    s = (x @ x.T) * w
     s[~((new[:, None] | new) & (s > least[:, None]))] = -np.inf
     np.fill_diagonal(s, -np.inf)
     at = _best(s, ids, DEGREE)
@@ -132,25 +133,34 @@ def _met(ids: np.ndarray, x: np.ndarray, least: np.ndarray, new: np.ndarray):
 
 
 def _meet(groups: DataFrame) -> DataFrame:
-    """groups (mid, node, v, least, new) as lists a middle node; Python gets many groups a batch."""
+    """groups (mid, node, v, w, least, new) as lists a middle node; Python gets many groups a batch."""
 
     def run(batches):
         for b in batches:
             out = []
-            for nodes, vectors, least, new in zip(*b.columns):
-                out.append(_met(nodes.values.to_numpy(), _matrix(vectors.values), least.values.to_numpy(), new.values.to_numpy(zero_copy_only=False)))
+            for nodes, vectors, weights, least, new in zip(*b.columns):
+                out.append(_met(nodes.values.to_numpy(), _matrix(vectors.values), weights.values.to_numpy(), least.values.to_numpy(), new.values.to_numpy(zero_copy_only=False)))
             if out:
                 yield from _edges(*map(np.concatenate, zip(*out))).to_batches()
 
-    lists = groups.groupBy("mid").agg(*(F.collect_list(c).alias(c) for c in ("node", "v", "least", "new")))
+    lists = groups.groupBy("mid").agg(*(F.collect_list(c).alias(c) for c in ("node", "v", "w", "least", "new")))
     return lists.drop("mid").mapInArrow(run, _EDGES)
 
 
+def light(nodes: DataFrame) -> DataFrame:
+    """nodes with v in single precision, as parts of its largest component, and w, that component as a part of the table's
+    largest: enough to tell who is near, whatever the vectors' magnitudes. A node ranks others by their w times the product
+    of both v; its own w would not change the order."""
+    own = F.array_max(F.transform("v", F.abs))
+    top = nodes.agg(F.max(own)).first()[0] or 1.0
+    scaled = nodes.withColumn("m", own)
+    return scaled.select("node", F.transform("v", lambda x: (x / F.col("m")).cast("float")).alias("v"), (F.col("m") / F.lit(float(top))).alias("w"))
+
+
 def build(nodes: DataFrame, n: int) -> DataFrame:
-    """The graph over nodes (node, v): a, n (array of score and b, best first)."""
-    nodes = nodes.select("node", F.col("v").cast("array<float>").alias("v"))  # enough to tell who is near
+    """The graph over nodes (node, v, w as light() gives them): a, n (array of score and b, best first)."""
     bits = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
-    leaves = _leaves(nodes, bits).select("tree", "leaf", "node", "v")
+    leaves = _leaves(nodes, bits)
     sizes = leaves.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF)).alias("cuts"))
     blocks = leaves.join(sizes, ["tree", "leaf"]).withColumn("cut", F.pmod(F.xxhash64("node", "tree"), F.col("cuts")))
     graph = materialize(_top(blocks.groupBy("tree", "leaf", "cut").applyInArrow(_within, _EDGES)), "graph")
@@ -165,7 +175,7 @@ def build(nodes: DataFrame, n: int) -> DataFrame:
         both = (both.unionByName(was) if met else both).groupBy("mid", "node").agg(F.min("new").alias("new"), F.max("now").alias("now"))
         met = materialize(both.where("now").select("mid", "node", "new"), "met")
         least = graph.select(F.col("a").alias("node"), F.when(F.size("n") >= DEGREE, F.element_at("n", -1)["score"]).alias("least"))
-        known = nodes.select("node", "v").join(least, "node", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        known = nodes.select("node", "v", "w").join(least, "node", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
         live = met.where("new").select("mid").distinct()
         fresh = _meet(met.join(live, "mid", "left_semi").join(known, "node"))
         before, graph = graph, materialize(_top(edges.unionByName(fresh)), "graph")
@@ -183,17 +193,17 @@ def _back(edges: DataFrame) -> DataFrame:
 
 
 def _scored(pairs: DataFrame, queries: DataFrame, nodes: DataFrame) -> DataFrame:
-    """pairs (q, b) with their score."""
+    """pairs (q, b) with their score: the product of q's vq and b's v, times w."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            s = np.einsum("ij,ij->i", _matrix(b.column(2)), _matrix(b.column(3))) if len(b) else np.zeros(0)
+            s = np.einsum("ij,ij->i", _matrix(b.column(2)), _matrix(b.column(3))) * b.column(4).to_numpy() if len(b) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], names=["q", "b", "score"])
 
-    joined = pairs.join(nodes.select(F.col("node").alias("b"), F.col("v").alias("vb")), "b").join(queries.select("q", "vq"), "q")
-    return joined.select("q", "b", "vq", "vb").mapInArrow(run, "q bigint, b bigint, score double")
+    joined = pairs.join(nodes.select(F.col("node").alias("b"), F.col("v").alias("vb"), "w"), "b").join(queries.select("q", "vq"), "q")
+    return joined.select("q", "b", "vq", "vb", "w").mapInArrow(run, "q bigint, b bigint, score double")
 
 
 def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -205,16 +215,16 @@ def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id",
     nodes = materialize(groups.select("node", "v"), "nodes")
     members = own.join(groups.select("node", F.col("v").alias("gv"), "h"), (F.xxhash64("v") == F.col("h")) & (F.col("v") == F.col("gv"))).select("node", "vec_id")
     members = materialize(members, "members")
-    graph = build(nodes, nodes.count())
+    flat = materialize(light(nodes), "light")
+    graph = build(flat, nodes.count())
     wanted = members.where(F.col("vec_id") % every == 0).distinct()
     # Queries of one vector share a walk, which starts at their node.
     edges = _flat(graph)
     graph = materialize(_top(edges.unionByName(_back(edges)), 2 * DEGREE), "both")
-    light = nodes.select("node", F.col("v").cast("array<float>").alias("v"))
     queries = materialize(wanted.select("node").distinct().join(nodes, "node").select(F.col("node").alias("q"), F.col("v").alias("vq")), "queries")
     start = queries.select("q").join(graph, F.col("q") == F.col("a"), "left").select("q", F.explode_outer("n").alias("e")).select("q", F.col("e.b").alias("b"), F.col("e.score").alias("score")).where("b is not null")
-    keys = queries.select("q", F.col("vq").cast("array<float>").alias("vq"))
-    start = _scored(start.select("q", "b"), keys, light).withColumn("done", F.lit(False))
+    keys = queries.select("q").join(flat.select(F.col("node").alias("q"), F.col("v").alias("vq")), "q")
+    start = _scored(start.select("q", "b"), keys, flat).withColumn("done", F.lit(False))
     found, last, width = [], None, BEAM
     while True:
         while True:
@@ -225,7 +235,7 @@ def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id",
                 break
             ahead = ahead.select("q", "b").join(graph, F.col("b") == F.col("a")).select("q", F.explode("n.b").alias("b")).distinct()
             ahead = ahead.where("q <> b").join(best.select("q", "b"), ["q", "b"], "left_anti")
-            start = best.select("q", "b", "score", (F.col("done") | open_).alias("done")).unionByName(_scored(ahead, keys, light).withColumn("done", F.lit(False)))
+            start = best.select("q", "b", "score", (F.col("done") | open_).alias("done")).unionByName(_scored(ahead, keys, flat).withColumn("done", F.lit(False)))
         now = best.where(F.col("place") < k).groupBy("q").agg(F.collect_list("b").alias("now"))
         if last:
             now = now.join(last.select("q", F.col("now").alias("last")), "q")
@@ -233,19 +243,20 @@ def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id",
         else:
             now = now.withColumn("on", F.lit(True))
         last = materialize(now, "stable")
-        found.append(best.join(last.where("not on"), "q", "left_semi").where(F.col("place") < k + 1).select("q", "b"))
+        # Some more than k + 1: double precision may order them otherwise.
+        found.append(best.join(last.where("not on"), "q", "left_semi").where(F.col("place") < 2 * k + 1).select("q", "b"))
         last = last.where("on")
         if last.isEmpty():
             break
         start = best.join(last, "q", "left_semi").select("q", "b", "score", "done")
         width *= 2
-    found = _scored(reduce(DataFrame.unionByName, found), queries, nodes)
+    found = _scored(reduce(DataFrame.unionByName, found), queries, nodes.withColumn("w", F.lit(1.0)))
     # The query's own vector is a neighbour too, for its copies.
     itself = queries.select("q", F.col("q").alias("b"), F.aggregate(F.zip_with("vq", "vq", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x).alias("score"))
     few = _first(members.distinct(), "node", k + 1, "vec_id").groupBy("node").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     near = found.select("q", "b", "score").unionByName(itself).join(few, F.col("b") == F.col("node")).groupBy("q").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "ids")).alias("found"))
-    flat = F.flatten(F.transform("found", lambda x: F.transform(x["ids"], lambda i: F.struct(x["s"].alias("s"), i.alias("i")))))
-    out = wanted.join(near.select("q", flat.alias("all")), F.col("node") == F.col("q"))
+    every_one = F.flatten(F.transform("found", lambda x: F.transform(x["ids"], lambda i: F.struct(x["s"].alias("s"), i.alias("i")))))
+    out = wanted.join(near.select("q", every_one.alias("all")), F.col("node") == F.col("q"))
     top = F.slice(F.array_sort(F.filter("all", lambda x: x["i"] != F.col("vec_id"))), 1, k)
     return out.select(F.col("vec_id").alias("query_id"), F.posexplode(top).alias("p", "e")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("e.i").alias("vec_id"), (-F.col("e.s")).alias("score")

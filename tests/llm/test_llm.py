@@ -400,6 +400,24 @@ def test_nearest_neighbours_beyond_the_leaves(spark, monkeypatch):
     assert len(got) == len(want) and len(want & set(got)) / len(want) >= 0.95
 
 
+@pytest.mark.parametrize("factor", [1e40, 1e-30, 1e150])
+def test_nearest_neighbours_of_any_magnitude(spark, monkeypatch, factor):
+    monkeypatch.setattr(nn_descent, "LEAF", 64)
+    x = np.random.default_rng(8).standard_normal((600, 16))
+    x[0] *= 1e-200  # one that is far smaller than the others
+    rows = spark.createDataFrame([(i, (v * factor).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in nn_descent.search(rows, every=30).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    found = 0
+    for q in range(0, 600, 30):
+        s = (x * factor) @ (x[q] * factor)
+        best = [i for i in np.lexsort((np.arange(600), -s)) if i != q][:20]
+        found += len({i for _, i, _ in got[q]} & set(best))
+        assert all(abs(c - s[i]) <= 1e-12 * abs(c) for _, i, c in got[q]) and [c for _, _, c in sorted(got[q])] == sorted((c for *_, c in got[q]), reverse=True)
+    assert found / (20 * 20) >= 0.95
+
+
 def test_nearest_neighbours_with_hubs_and_copies(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "LEAF", 64)
     rng = np.random.default_rng(6)

@@ -34,7 +34,7 @@ from .common import let, materialize, ship
 DEPTH = 8
 # Elements and names by which pages mark what is not their main text.
 OUT = frozenset(
-    "head title script style noscript template iframe object svg canvas math nav header footer aside form button select textarea dialog menu audio video".split()
+    "head title script style noscript template iframe object svg canvas nav header footer aside form button select textarea dialog menu audio video".split()
 )
 RAW = {x: re.compile(rf"</{x}\s*>", re.I | re.A) for x in "script style noscript template textarea title iframe svg".split()}
 BLOCKS = frozenset(
@@ -45,10 +45,16 @@ CORE = frozenset(("article", "main"))
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations trending comment comments disqus replies respond widget toolbar pagination pager".split()
 )
+#: What is never part of a text, whatever element it marks: adverts, calls to act and readers' comments.
+HARD = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr newsletter subscribe share sharing comment comments disqus".split())
+#: Words that make compounds with the last: ad-slot, user-comments.
+HARD_WITH = frozenset("count inline label native post reader readers slot text thread user users zone".split())
 #: Words that make compounds with those: cookie-bar, related-posts.
 WITH = frozenset("area articles bar block box button buttons container content footer form global group inner item items left links list main message page panel posts right section site top unit widget wrap wrapper".split())
 #: Elements of running text: their class says how they look, not what they are.
 TEXT = frozenset("p li td th dt dd h1 h2 h3 h4 h5 h6 blockquote pre span b i em strong a code q u s small sub sup mark".split())
+#: Elements whose end may be left out: which they end.
+ENDS = {x: frozenset(y.split()) for x, y in (("li", "li"), ("dt", "dt dd"), ("dd", "dt dd"), ("td", "td th"), ("th", "td th"), ("tr", "td th tr"))}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 _NAME_OF = re.compile(r"(/?)([a-zA-Z][\w:-]*+)")
@@ -94,10 +100,14 @@ def _tags(page: str):
         at = page.find("<", end)
 
 
-def _named_out(names: str) -> bool:
+def _named_out(names: str, running: bool) -> bool:
+    """Whether class names or an id say that an element is out; of running text only the plainest do."""
     for name in names.split():
-        parts = _PARTS.split(name)
-        if not NAMES.isdisjoint(parts) and all(x in NAMES or x in WITH or not x for x in parts):
+        parts = [x for x in _PARTS.split(name) if x]
+        hard = not HARD.isdisjoint(parts)
+        if hard and all(x in NAMES or x in WITH or x in HARD_WITH or x.isdigit() for x in parts):
+            return True
+        if not running and not NAMES.isdisjoint(parts) and all(x in NAMES or x in WITH for x in parts):
             return True
     return False
 
@@ -108,7 +118,7 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            out |= tag not in TEXT and _named_out(value)
+            out |= _named_out(value, tag in TEXT)
         elif name == "role":
             out |= value in ROLES
             core |= value in CORE
@@ -124,11 +134,13 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
 
 
 def blocks_of(page: str | None) -> tuple[list[str], list[str], list[str]]:
-    """The texts of a page's article blocks, of its open blocks and of its blocks that are out."""
+    """The texts of a page's article blocks, of its open blocks and of its blocks that are out. Where a page has a main
+    element with text, articles beside it are not its text. An article that its class names as a comment or an advert is none."""
     found: tuple[list[str], list[str], list[str]] = ([], [], [])
+    beside: list[bool] = []  # of each article block, whether it lies outside a main element
     page = page or ""
-    stack: list[tuple[str, bool, bool]] = []  # containers: name, out, in the article
-    out = core = False
+    stack: list[tuple[str, bool, int]] = []  # containers: name, out, in an article (1) or main element (2)
+    out, core = False, 0
     run: list[str] = []
     at = 0
 
@@ -137,6 +149,8 @@ def blocks_of(page: str | None) -> tuple[list[str], list[str], list[str]]:
         run.clear()
         if text:
             found[2 if out else 0 if core else 1].append(text)
+            if core and not out:
+                beside.append(core < 2)
 
     for start, end, found_tag in _tags(page):
         if start > at:
@@ -153,29 +167,35 @@ def blocks_of(page: str | None) -> tuple[list[str], list[str], list[str]]:
             flush()
             if stack and stack[-1][0] == "p" and (not close or tag != "p"):  # a block ends an open paragraph
                 stack.pop()
-                out, core = stack[-1][1:] if stack else (False, False)
+                out, core = stack[-1][1:] if stack else (False, 0)
+            while not close and stack and stack[-1][0] in ENDS.get(tag, ()):
+                stack.pop()
+                out, core = stack[-1][1:] if stack else (False, 0)
         if close:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     if not block:
                         flush()
                     del stack[i:]
-                    out, core = stack[-1][1:] if stack else (False, False)
+                    out, core = stack[-1][1:] if stack else (False, 0)
                     break
             continue
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
         is_out, is_core = _marks(tag, attributes) if attributes else (False, False)
+        is_main = is_core or tag == "main"
         is_core |= tag in CORE
-        is_out = tag in OUT or is_out and not (is_core or tag in ("html", "body"))
+        is_out = tag in OUT or is_out and not (is_main or tag in ("html", "body"))
         if is_out or is_core or block and tag not in ("p", "li", "td", "th", "tr", "dt", "dd"):
             if is_out and not block:
                 flush()
-            stack.append((tag, out or is_out, core or is_core))
+            stack.append((tag, out or is_out, max(core, 2 * is_main, int(is_core))))
             out, core = stack[-1][1:]
     run.append(page[at:])
     flush()
-    return found
+    if all(beside) or not any(beside):
+        return found
+    return [t for t, b in zip(found[0], beside, strict=True) if not b], found[1], found[2] + [t for t, b in zip(found[0], beside, strict=True) if b]
 
 
 def _host(url: str) -> Column:

@@ -14,7 +14,9 @@ A shared MinHash value is a shared shingle, so windows are only made of texts th
 this test loses nothing and spares nearly all texts the windows. The template table is fixed and small (its
 shingles are a literal, its bands are broadcast); documents are never joined with each other.
 
-Defined cases: null texts and texts of under five words match nothing; a template found in many windows
+Defined cases: null texts and texts of under five words match nothing; templates of under five words have no shingle and
+match nothing, a set of no others finds nothing; rows with a null id count as one document; other columns are not read; a
+text of any length is scanned whole; a template found in many windows
 of a document gives one row, with the best window; repeated rows are scanned each, and reported once a doc_id;
 an empty table gives an empty result.
 """
@@ -41,6 +43,7 @@ TEMPLATES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+    "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "mit": "Released under the MIT License.",
     "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
@@ -89,6 +92,9 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, doc_id: str = "doc_
     """Per document and license found: doc_id, license, containment of the template in the best window, n_windows."""
     known = templates(docs.sparkSession, texts)
     fixed = [r for r in known.collect() if r["of"]]  # the templates given, some dozens of rows
+    if not fixed:
+        none = docs.select(F.col(doc_id), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("n_windows"))
+        return none.where("false")
     literal = F.array(*(F.lit(x).cast("long") for x in sorted({x for r in fixed for x in r["of"]})))
     sizes = sorted({r["size"] for r in fixed})
     held = docs.select(F.col(doc_id).alias("__id"), shingles(normalized(F.col(text))).alias("__s")).where(F.arrays_overlap("__s", literal))

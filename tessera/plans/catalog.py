@@ -605,3 +605,6 @@ def grand_totals(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT coalesce(bool_or(n_chars > 100000000), false) AS huge, coalesce(bool_or(lang = 'en'), false) AS english FROM documents")
 def any_rows(spark: SparkSession, d: str) -> DataFrame:
     return R.any_of(t(spark, d, "documents"), huge=F.col("n_chars") > 100_000_000, english=F.col("lang") == "en")
+
+
+from . import files  # noqa: E402, F401  its queries join those above

@@ -96,11 +96,16 @@ def ship(spark: SparkSession) -> None:
 _written: list[tuple[SparkSession, str]] = []
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes what was written there and is read no more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def _drop_written() -> None:
     for spark, path in _written:
         try:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            discard(spark, path)
         except Exception:  # the session has ended: its folder goes with it
             return
 

@@ -40,14 +40,17 @@ SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END
 FROM d LEFT JOIN k USING (r)"""
 
 
+SQL_ROUNDS = 16
+
+
 def mix_sql() -> str:
-    """The rounds unrolled: the same factors in the same order."""
+    """The rounds unrolled: the same factors in the same order, as many rounds as converge with the query's targets."""
     topic = " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in mix.TOPICS)
     steps, last = [], "c0"
     for d in mix.DIMENSIONS:
         power = mix.TARGETS[d]
         steps.append(f"g_{d} AS MATERIALIZED (SELECT {d}_, r / sum(r) OVER () AS goal FROM (SELECT {d}_, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {power}) ELSE 0 END AS r FROM c0 GROUP BY {d}_))")
-    for i in range(mix.ROUNDS * len(mix.DIMENSIONS)):
+    for i in range(SQL_ROUNDS * len(mix.DIMENSIONS)):
         d = mix.DIMENSIONS[i % len(mix.DIMENSIONS)]
         steps.append(
             f"c{i + 1} AS MATERIALIZED (SELECT source_, lang_, topic_, tokens, w * CASE WHEN h > 0 THEN goal / h ELSE 0 END AS w FROM (SELECT *, sum(w) OVER (PARTITION BY {d}_) AS h FROM {last}) JOIN g_{d} USING ({d}_))"

@@ -145,6 +145,24 @@ def test_mix_meets_its_targets(spark):
     assert len(odd) == len(ODD) and all(0 <= r.probability <= 1 for r in odd)
 
 
+def test_raking_ends_and_tells_gaps(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 40)), rng.choice("ab"), rng.choice("xy"), 0, rng.choice("pq"), "mine", "too") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, topic string, __source string, __topic string")
+    targets = {"source": {"x": 0.2, "y": 0.8}, "lang": {"a": 0.5, "b": 0.5}, "topic": 0.5}
+    few = {r.doc_id: r for r in mix.mix(docs, targets).collect()}
+    assert all(r["__source"] == "mine" and r["__topic"] == "too" for r in few.values())
+    monkeypatch.setattr(mix, "FEW", 0)
+    many = {r.doc_id: r.probability for r in mix.mix(docs, targets).collect()}
+    assert all(abs(few[i].probability - p) < 1e-9 for i, p in many.items())
+    alone = docs.where("source = 'x' or lang = 'a'")  # nothing of source y has language b
+    with pytest.warns(UserWarning, match="missed"):
+        mix.mix(alone, {"source": {"x": 0.2, "y": 0.8}, "lang": {"a": 0.5, "b": 0.5}, "topic": 1.0}, rounds=20)
+    cells = docs.groupBy(F.col("source").alias("__source"), F.col("lang").alias("__lang"), F.col("topic").alias("__topic")).agg(F.count(F.lit(1)).alias("tokens"))
+    told = mix.marginals(mix.rake(cells, targets), targets).collect()
+    assert len(told) == 6 and all(abs(r.gap) < 1e-9 for r in told)
+
+
 def brute_groups(texts):
     sets = []
     for x in texts:

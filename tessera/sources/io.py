@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schema import MANIFEST
+from .shared import hadoop, remove
 
 #: Names by which columns are found, best first.
 CANDIDATES = {
@@ -203,12 +204,43 @@ def scorecard(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), F.lit(" |")).alias("line"))
 
 
+def _cache_path(root: str, key: str) -> str:
+    """root/key, for keys that stay below the root."""
+    if not re.fullmatch(r"[\w-][\w.-]*", key):
+        raise ValueError(f"not a cache key: {key!r}")
+    return f"{root}/{key}"
+
+
 def cached(df_factory, spark: SparkSession, root: str, key: str) -> DataFrame:
     """The table under root/key; made first if it is not there."""
-    if not re.fullmatch(r"[\w.-]+", key):
-        raise ValueError(f"not a cache key: {key!r}")
-    path = f"{root}/{key}"
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    path = _cache_path(root, key)
+    fs, done = hadoop(spark, f"{path}/_SUCCESS")
+    if not fs.exists(done):
         df_factory().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def pack(tables: dict[str, DataFrame | None], root: str, key: str) -> list[str]:
+    """Keeps several tables under one key, without those that are not there (None); an error if none is. The list of their
+    names is written last, so a pack is there as a whole or not at all."""
+    path = _cache_path(root, key)
+    there = {n: df for n, df in tables.items() if df is not None}
+    if not there:
+        raise ValueError("nothing to pack")
+    spark = next(iter(there.values())).sparkSession
+    remove(spark, path)
+    for n, df in there.items():
+        df.write.parquet(_cache_path(path, n))
+    spark.createDataFrame([(n,) for n in there], "name string").coalesce(1).write.parquet(f"{path}/_names")
+    return list(there)
+
+
+def restore(spark: SparkSession, root: str, key: str) -> dict[str, DataFrame] | None:
+    """What pack() kept under a key; None if it is not there as a whole, cannot be read, or the key leaves the root."""
+    try:
+        path = _cache_path(root, key)
+        names = [r["name"] for r in spark.read.schema("name string").parquet(f"{path}/_names").collect()]
+        out = {n: spark.read.parquet(_cache_path(path, n)) for n in names}
+        return out or None
+    except Exception:
+        return None

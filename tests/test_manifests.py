@@ -125,6 +125,23 @@ def test_rounds(spark):
         R.rounds(df, "id", [20, 20])
 
 
+def test_packs(spark, tmp_path):
+    root = str(tmp_path / "cache")
+    assert io.restore(spark, root, "k1") is None
+    assert io.pack({"a": spark.range(3), "gone": None, "b": spark.range(2)}, root, "k1") == ["a", "b"]
+    assert {n: df.count() for n, df in io.restore(spark, root, "k1").items()} == {"a": 3, "b": 2}
+    io.pack({"a": spark.range(5)}, root, "k1")
+    assert {n: df.count() for n, df in io.restore(spark, root, "k1").items()} == {"a": 5}
+    with pytest.raises(ValueError):
+        io.pack({"a": None}, root, "k2")
+    for key in ("../cache/k1", "k1/a", "", ".."):
+        assert io.restore(spark, root, key) is None
+        with pytest.raises(ValueError):
+            io.pack({"a": spark.range(1)}, root, key)
+    (tmp_path / "cache" / "k1" / "a").rename(tmp_path / "cache" / "k1" / "moved")
+    assert io.restore(spark, root, "k1") is None
+
+
 def test_references(spark):
     one = lambda rows, c: spark.createDataFrame(rows, f"k string, {c} string")
     speakers, audio = one([(k, "") for k in "abcdef"], "x"), one([(k, "") for k in "abcdeea"], "x")

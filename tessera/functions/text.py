@@ -3,6 +3,8 @@ needs an Arrow UDF."""
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -208,12 +210,36 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, rf"(?<=[។!?]){SPACE}*"), strip), lambda s: s != "")
 
 
+def _one_decimal(v: Column) -> Column:
+    """A finite number with one decimal as C and Python write it: the exact binary value is rounded, halves to even. Spark's
+    own format rounds the shortest decimal numeral, halves up."""
+
+    def of(x: Column) -> Column:
+        size = F.abs(x)
+        whole = F.floor(size)
+
+        def said(part: Column) -> Column:
+            # How many of 1/20, 3/20 ... 19/20 the fraction is beyond; a double equal to one of these may lie on either side.
+            up = lambda k: part >= k / 20 if (Fraction(k / 20), k // 2 % 2) > (Fraction(k, 20), 0) else part > k / 20
+            tenths = sum((up(k).cast("long") for k in range(1, 20, 2)), F.lit(0).cast("long"))
+            sign = F.when(F.signum(x) < 0, "-").otherwise("")
+            return let(tenths, lambda d: F.concat(sign, (whole + F.when(d == 10, 1).otherwise(0)).cast("string"), F.lit("."), (d % 10).cast("string")))
+
+        return let(size - whole, said)
+
+    return let(v, of)
+
+
 def human_bytes(n: Column) -> Column:
-    """A size in units of 1024 with one decimal."""
-    out = F.format_string("%.1fTB", n / F.lit(1024.0**4))
-    for i, unit in reversed(list(enumerate(("B", "KB", "MB", "GB")))):
-        out = F.when(n < F.lit(1024.0 ** (i + 1)), F.format_string(f"%.1f{unit}", n / F.lit(1024.0**i))).otherwise(out)
-    return out
+    """A size in units of 1024 with one decimal; null for null."""
+
+    def of(x: Column) -> Column:
+        out = F.concat(_one_decimal(x / F.lit(1024.0**4)), F.lit("TB"))
+        for i, unit in reversed(list(enumerate(("B", "KB", "MB", "GB")))):
+            out = F.when(x < F.lit(1024.0 ** (i + 1)), F.concat(_one_decimal(x / F.lit(1024.0**i)), F.lit(unit))).otherwise(out)
+        return out
+
+    return let(n, of)
 
 
 def identifier(text: Column, empty: str = "unknown_speaker") -> Column:

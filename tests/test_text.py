@@ -60,3 +60,19 @@ def test_small_functions(spark):
     ).first()
     assert row.s == ["a. ខ។", "គ!", "ឃ?"] and row.i == "a_b_ខ" and row.e == "unknown_speaker" and row.t == "c.d.wav" and row.h == "1.5KB" and row.k == "a១០" and row.o == "ក្ខ គ"
     assert unicodedata.category("្") == "Mn"
+
+
+def test_human_bytes_rounds_the_exact_value(spark):
+    """One decimal as C and Python write it, also where the shortest numeral ends in 5; null stays null."""
+
+    def human(n: float) -> str:
+        for unit in ("B", "KB", "MB", "GB"):
+            if n < 1024:
+                return f"{n:.1f}{unit}"
+            n /= 1024
+        return f"{n:.1f}TB"
+
+    sizes = [x * 1024.0**i for i in range(5) for x in [1.25, 7.75, 0.25, 0.75, 1.05, 1.15, 2.35, 2.45, 0.55, 0.65, 8.85, 8.95, 1023.95, 1023.96, 1000.0, 0.05, 0.0, 3.0]]
+    sizes += [float(1024 * k + j) for k in range(1, 40) for j in (256, 768, 51, 52, 972, 973)]
+    rows = spark.createDataFrame([(x,) for x in [*sizes, None]], "n double").select("n", T.human_bytes(F.col("n")).alias("h")).collect()
+    assert [(r.n, r.h) for r in rows if r.h != (None if r.n is None else human(r.n))] == []

@@ -215,3 +215,22 @@ def test_audio_forms_and_stages(spark, tmp_path):
     clips = [("a", "s1", "1", "x"), ("b", "s1", "1", "y"), ("c", "s2", "1", "x"), ("d", "s1", "", "x"), ("e", "s1", None, "x"), ("f", "s1", "2", "x"), ("g", None, None, "x")]
     got = stages.ingest(spark.createDataFrame(clips, "audio_path string, speaker_id string, sentence_id string, text string"))
     assert sorted(r.audio_path for r in got.collect()) == ["a", "c", "d", "f", "g"]  # keyed by speaker and sentence, or text where there is no id
+
+
+def documents(spark, path, rows: int = 400) -> str:
+    """A table of documents in four files; every fourth text comes twice, one row has no id and one no text."""
+    ids = [*range(rows), None]
+    made = [(i, None if i == 7 else f"text {(i or 0) // 4 * 4 if (i or 0) % 4 < 2 else i}", "s", 300 + (i or 0) % 7, "en") for i in ids] + [(None, "only without an id", "s", 5, "en")]
+    spark.createDataFrame(made, "doc_id bigint, text string, source string, n_chars bigint, lang string").repartition(4).write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_bounded_scan_writes_with_all_tasks(spark, tmp_path, monkeypatch):
+    """No task takes a whole quarter of the table."""
+    from tessera.plans import files
+
+    d = documents(spark, tmp_path / "d")
+    monkeypatch.setattr(files.shared, "shared_path", lambda spark, name: str(tmp_path / name))
+    got = sorted(r.doc_id for r in files.bounded_scan(spark, d).collect())
+    assert got == [i for i in range(400) if i % 4 < 3]
+    assert all(len(list((tmp_path / "corpus" / f"f={i}").glob("*.parquet"))) > 1 for i in range(4))

@@ -36,6 +36,10 @@ def query(sql: str | None = None):
     return add
 
 
+#: Files of a batch of a stream: all that have come.
+ALL_FILES = 1_000_000
+
+
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -536,22 +540,23 @@ def scorecard(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT text, count(*)::BIGINT AS n, min(doc_id)::BIGINT AS doc_id FROM (SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text) GROUP BY text")
 def stream_incremental_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The incremental build over the table's files, which come in the order of their ids, run twice; the second run
-    finds nothing new. The document that stays is read from the shards."""
+    """The incremental build over the table's rows, which come as three deliveries of many files in the order of their ids
+    (rows without an id last), each built when it has come; a last run finds nothing new. The document that stays is read
+    from the shards."""
     import os
 
     from ..streaming import incremental
 
     root = f"{shared.shared_dir(spark)}/stream-{os.urandom(8).hex()}"
     keep = spark.read.parquet(f"{d}/documents.parquet")
-    source = f"{root}/in"
-    low, high = keep.agg(F.min("doc_id"), F.max("doc_id")).first()
-    third = ((high or 0) - (low or 0)) // 3 + 1
-    for i in range(3):
-        keep.where(F.floor((F.col("doc_id") - (low or 0)) / third) == i).coalesce(1).write.mode("append").parquet(source)
+    source, i = f"{root}/in", F.col("doc_id")
+    low, high = (x or 0 for x in keep.agg(F.min("doc_id"), F.max("doc_id")).first())
+    third = (high - low) // 3 + 1
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema)
-    for _ in range(2):
-        incremental.build(spark, source, ddl, f"{root}/out", f"{root}/state", ["text"], files=1, order="doc_id")
+    for came in (i < low + third, (i >= low + third) & (i < low + 2 * third), (i >= low + 2 * third) | i.isNull(), None):
+        if came is not None:
+            keep.where(came).write.mode("append").parquet(source)
+        incremental.build(spark, source, ddl, f"{root}/out", f"{root}/state", ["text"], files=ALL_FILES, order="doc_id")
     return incremental.shards(spark, f"{root}/out").groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
 
 

@@ -234,3 +234,14 @@ def test_bounded_scan_writes_with_all_tasks(spark, tmp_path, monkeypatch):
     got = sorted(r.doc_id for r in files.bounded_scan(spark, d).collect())
     assert got == [i for i in range(400) if i % 4 < 3]
     assert all(len(list((tmp_path / "corpus" / f"f={i}").glob("*.parquet"))) > 1 for i in range(4))
+
+
+def test_stream_comes_in_many_files(spark, tmp_path, monkeypatch):
+    """No task writes a whole delivery, and rows without an id are taken too."""
+    from tessera.plans import catalog
+
+    d = documents(spark, tmp_path / "d")
+    monkeypatch.setattr(catalog.shared, "shared_dir", lambda spark: str(tmp_path))
+    got = {r.text: (r.n, r.doc_id) for r in catalog.stream_incremental_dedup(spark, d).collect()}
+    assert len(got) == 301 and got["only without an id"] == (1, None) and got["text 4"] == (1, 4) and got[None] == (1, 7)
+    assert len(list(tmp_path.glob("stream-*/in/*.parquet"))) > 6

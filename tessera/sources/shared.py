@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,20 @@ def ranged(df: DataFrame, by: Sequence[str], row: str = "__row", part: str = "__
     return materialize(out, "ranged").withColumn(part, F.shiftright(row, 33).cast("int"))
 
 
+_LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listing(spark: SparkSession):
+    """Lists many small folders with a few tasks a core, where Spark starts a task a folder."""
+    before = spark.conf.get(_LISTING_KEY)
+    spark.conf.set(_LISTING_KEY, str(min(int(before), 8 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING_KEY, before)
+
+
 _shipped: set[str] = set()
 
 
@@ -83,3 +98,19 @@ def ship(spark: SparkSession) -> None:
                 z.write(f, f.relative_to(root.parent))
         sc.addPyFile(str(target))
         _shipped.add(sc.applicationId)
+
+
+#: Bytes of a batch that goes to a Python worker: ten thousand long texts would not fit.
+BATCH_BYTES = 6 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def python() -> None:
+    """Makes the active session ready for Python on executors: the package is sent, and the bytes of the batches are bounded
+    unless the session has set them."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    ship(spark)
+    if not spark._jsparkSession.sessionState().conf().contains(_BATCH_KEY):
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))

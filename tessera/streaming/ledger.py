@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 
 from ..operators import cuts
 from ..sources.commits import CommitLog
-from ..sources.shared import hadoop, materialize, remove
+from ..sources.shared import listing, materialize, remove
 
 _RECORD = (
     "attempt string, files array<struct<path: string, outcome: string, error: string, bytes: bigint, clips: bigint, seconds: double, shard: int>>, "
     "shards array<struct<shard: int, bytes: bigint>>, clips bigint, seconds double, rejected bigint, duplicates bigint, "
     "total struct<clips: bigint, seconds: double, rejected: bigint, duplicates: bigint, shards: bigint>, created double"
 )
+#: Bytes of a shard's files that one task writes.
+PART_BYTES = 128 << 20
 _NOTHING = {"clips": 0, "seconds": 0.0, "rejected": 0, "duplicates": 0, "shards": 0}
 
 
@@ -79,7 +81,8 @@ class Build:
         if not paths:
             empty = self.judge(self._read([]))
             return empty.select(*(c for c in empty.columns if c not in ("ok", "__file", "__row")), F.lit(0).alias("shard"))
-        return self.spark.read.option("basePath", f"{self.out}/data").parquet(*paths).drop("attempt")
+        with listing(self.spark):
+            return self.spark.read.option("basePath", f"{self.out}/data").parquet(*paths).drop("attempt")
 
     def known(self) -> DataFrame:
         paths = self._committed("keys")
@@ -98,6 +101,10 @@ class Build:
         """Works on what is to do and returns the run's counts. It stops cleanly after ``max_chunks`` chunks, after the chunk
         in which ``max_hours`` of time were over, or with ``pilot``, which publishes nothing and starts from
         the first file, after as many accepted clips. A later run goes on where it stopped."""
+        with listing(self.spark):
+            return self._run(max_chunks, max_hours, pilot)
+
+    def _run(self, max_chunks: int, max_hours: float, pilot: int) -> dict:
         began, stats, chunk = time.time(), dict(_NOTHING) | {"chunks": 0, "failed": 0}, 0
         base = dict(_NOTHING) if pilot else self.progress()
         # What was pending at the end of the last run was published then: a new shard begins.
@@ -121,6 +128,12 @@ class Build:
         rows = self.spark.read.schema(self.schema).parquet(*files)
         return rows.select("*", _plain(F.col("_metadata.file_path")).alias("__file"), F.col("_metadata.row_index").alias("__row"))
 
+    def _sizes(self, data: str) -> list[dict]:
+        """The shards of a chunk with the bytes of their files, from one listing."""
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(data)  # names and lengths only
+        sizes = listed.groupBy(F.regexp_extract("path", r"/shard=([0-9]+)/[^/]*$", 1).cast("int").alias("shard")).agg(F.sum("length").alias("bytes"))
+        return [r.asDict() for r in sizes.where("shard is not null").orderBy("shard").collect()]
+
     def _stage(self, files: list[str], to: str) -> tuple[list[str], list[tuple[str, str]]]:
         """Judged rows of the files that can be read, in folders below ``to``; and the others with their errors."""
         path = f"{to}/{uuid.uuid4().hex}"
@@ -166,18 +179,19 @@ class Build:
                 judged = rows.join(keys, "__key").withColumn("__status", status)
                 seen = Observation()
                 judged = judged.observe(seen, *(F.count_if(F.col("__status") == s).alias(n) for n, s in (("rejected", "rejected"), ("duplicates", "duplicate"))))
-                of = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(numbers)], "__place int, shard int"))
+                # A shard's rows go to one task for each PART_BYTES of its files: else each task would write to all shards.
+                weight = np.bincount(numbers, weights=[f.bytes for f in files])
+                pieces = np.maximum(1, np.ceil(weight / PART_BYTES)).astype(np.int64)[numbers]
+                of = F.broadcast(spark.createDataFrame([(i, int(n), int(p)) for i, (n, p) in enumerate(zip(numbers, pieces, strict=True))], "__place int, shard int, __pieces int"))
                 final = judged.where("__status = 'kept'").join(of, "__place")
-                inner = ["__file", "__row", "__place", "__at", "__old", "__status", "first", "ok"]
+                inner = ["__file", "__row", "__place", "__at", "__old", "__status", "__pieces", "first", "ok"]
                 if pilot:
                     final.write.format("noop").mode("overwrite").save()
                 else:
                     data, own = f"{self.out}/data/attempt={attempt}", f"{self.out}/keys/attempt={attempt}"
-                    final.drop(*inner, "__key").write.partitionBy("shard").parquet(data)
+                    final.repartition("shard", F.pmod("__row", "__pieces")).drop(*inner, "__key").write.partitionBy("shard").parquet(data)
                     kept.select(F.col("__key").alias("key")).write.parquet(own)
-                    for n in sorted({int(n) for n in numbers[clips > 0]}):
-                        fs, path = hadoop(spark, f"{data}/shard={n}")
-                        shards.append({"shard": n, "bytes": fs.getContentSummary(path).getLength()})
+                    shards = self._sizes(data)
                 counts = {k: int(v) for k, v in seen.get.items()}
             else:
                 numbers = np.zeros(len(files), np.int64)

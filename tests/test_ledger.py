@@ -141,3 +141,16 @@ def test_lock(spark, tmp_path):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert sorted(got) == [False, False, False, True]
+
+
+def test_a_shard_is_one_file(spark, tmp_path):
+    """Tasks do not each write to every shard; the recorded bytes are those of the shards' files."""
+    rows = spark.range(4000).select(F.col("id").alias("k"), F.lit(True).alias("ok"), (F.col("id") % 40).alias("f"))
+    rows.repartition(4).write.partitionBy("f").parquet(str(tmp_path / "in"))
+    b = Build(spark, str(tmp_path / "in"), "k long, ok boolean", str(tmp_path / "out"), ["k"], lambda df: df.withColumn("seconds", F.lit(1.0)), shard_clips=100)
+    b.run()
+    assert b.rows().count() == 4000
+    for shard in range(1, 41):
+        parts = list((tmp_path / "out" / "data").glob(f"attempt=*/shard={shard}/*.parquet"))
+        size = b.meta().where(F.col("shard") == shard).first()["bytes"] if shard % 13 == 1 else None
+        assert len(parts) == 1 and size in (None, sum(p.stat().st_size for p in parts))

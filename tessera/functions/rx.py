@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -45,6 +46,17 @@ def sub(text: Column, pattern: str, replace: Callable[[Column], Column], *needs:
     return let(text, of)
 
 
+def sub_text(text: str, pattern: re.Pattern, replace: Callable[[re.Match], str], needs: Sequence[str]) -> str:
+    """sub() of one text, for Python on executors."""
+    if not any(n in text for n in needs):
+        return text
+    done, n = pattern.subn(replace, text.translate(_UNMARKED) if OPEN in text or CLOSE in text else text)
+    return done if n else text
+
+
+_UNMARKED = dict.fromkeys(map(ord, OPEN + CLOSE))
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_SPACES))
 

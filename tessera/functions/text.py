@@ -1,15 +1,18 @@
-"""Khmer text normalisation: numbers, currency, dates and percentages as spoken words. Native expressions; NFC alone
-needs an Arrow UDF."""
+"""Khmer text normalisation: numbers, currency, dates and percentages as spoken words. Native expressions; NFC and amounts
+of money are Arrow UDFs."""
 
 from __future__ import annotations
 
+import re
 from fractions import Fraction
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rx import SPACE, WORD, group, let, strip, sub
+from ..sources.shared import python
+from .rx import SPACE, WORD, group, let, strip, sub, sub_text
 
 # The Khmer digits and number words.
 KHMER_DIGITS = "០១២៣៤៥៦៧៨៩"
@@ -97,35 +100,71 @@ def number_words(number: Column) -> Column:
     return let(arabic_digits(strip(number.cast("string"))), of)
 
 
-def _raw(m: Column, name: str, n: int = 1) -> Column:
-    return F.replace(group(m, PATTERNS[name], n), F.lit(","), F.lit(""))
+def _spoken_below_1000(n: int) -> str:
+    hundreds, tens, ones = n // 100, n // 10 % 10, n % 10
+    return (ONES[hundreds] + HUNDRED if hundreds else "") + TENS[tens] + (ONES[ones] if ones else "")
 
 
-def currency(text: Column) -> Column:
-    def latin(t: Column) -> Column:
-        """t with the Khmer digits of amounts as ASCII ones."""
-        for near, sign in ((r"(?<=[$៛])[០-៩,.]+", "$៛"), (rf"[០-៩,.]+(?={SPACE}*៛)", "៛"), (rf"[០-៩,.]+(?={SPACE}*{RIEL})", (RIEL,))):
-            t = sub(t, near, arabic_digits, sign)
-        return t
+@lru_cache(maxsize=1 << 16)
+def spoken(number: str) -> str:
+    """number_words() of one numeral, for Python on executors."""
+    s = number.strip().translate(_ARABIC)
+    whole, fraction = re.match("-?([0-9]*)", s)[1], re.search(r"\.([0-9]+)", s)
+    digits, words = whole.zfill(-(-len(whole) // 9) * 9), ""
+    for i in range(0, len(digits), 9):
+        words += BILLION if words else ""
+        for x, word in ((int(digits[i : i + 3]), MILLION), (int(digits[i + 3 : i + 6]), THOUSAND), (int(digits[i + 6 : i + 9]), "")):
+            words += _spoken_below_1000(x) + word if x else ""
+    decimals = fraction[1][:10].rstrip("0") if fraction else ""
+    minus = MINUS if s.startswith("-") and re.search("[1-9]", s) else ""
+    return minus + (words or ONES[0]) + (POINT + "".join(ONES[int(c)] for c in decimals) if decimals else "")
+
+
+_ARABIC = str.maketrans(KHMER_DIGITS, "0123456789")
+_KHMER = re.compile("[០-៩]")
+_NEAR = tuple((re.compile(p), signs) for p, signs in ((r"(?<=[$៛])[០-៩,.]+", "$៛"), (rf"[០-៩,.]+(?={SPACE}*៛)", "៛"), (rf"[០-៩,.]+(?={SPACE}*{RIEL})", (RIEL,))))
+_SIGNS = ("$", "៛", RIEL)
+
+
+def _dollars(m: re.Match) -> str:
+    raw = m[1].replace(",", "").translate(_ARABIC)
+    cents = re.search(r"\.([0-9]{1,2})", raw)
+    cents = (cents[1] if cents else "").ljust(2, "0")
+    main = spoken(re.match("-?[0-9]+|", raw)[0]) + DOLLAR
+    return f"{main} {spoken(cents)}{CENT}" if "." in raw and cents != "00" else main
+
 
-    text = let(text, lambda t: F.when(t.rlike("[០-៩]"), latin(t)).otherwise(t))
+def _riels(m: re.Match) -> str:
+    return spoken(m[1].replace(",", "")) + RIEL
 
-    def dollars(m: Column) -> Column:
-        def of(raw: Column) -> Column:
-            cents = F.rpad(F.regexp_extract(raw, r"\.([0-9]{1,2})", 1), 2, "0")
-            main = F.concat(number_words(F.regexp_extract(raw, "^(-?[0-9]+)", 1)), F.lit(DOLLAR))
-            return F.concat(main, F.when(raw.contains(".") & (cents != "00"), F.concat(F.lit(" "), number_words(cents), F.lit(CENT))).otherwise(""))
 
-        return let(arabic_digits(_raw(m, "dollar")), of)
+_AMOUNTS = tuple(
+    (re.compile(PATTERNS[name].replace(r"\p{Nd}", r"\d")), signs, of)
+    for name, signs, of in (("dollar", "$", _dollars), ("riel_before", "៛", _riels), ("riel_after", "៛", _riels), ("riel_word", (RIEL,), _riels))
+)
 
-    text = sub(text, PATTERNS["dollar"], dollars, "$")
-    for name, sign in (("riel_before", "៛"), ("riel_after", "៛"), ("riel_word", RIEL)):
-        text = sub(text, PATTERNS[name], _riels(name), (sign,))
+
+def _amounts_said(text: str | None) -> str | None:
+    if text is None:
+        return None
+    if _KHMER.search(text):  # the Khmer digits of amounts as ASCII ones
+        for pattern, signs in _NEAR:
+            text = sub_text(text, pattern, lambda m: m[0].translate(_ARABIC), signs)
+    for pattern, signs, of in _AMOUNTS:
+        text = sub_text(text, pattern, of, signs)
     return text
 
 
-def _riels(name: str):
-    return lambda m: F.concat(number_words(_raw(m, name)), F.lit(RIEL))
+def currency(text: Column) -> Column:
+    """Amounts behind or before their sign as words. Only texts with such a sign are sent to Python, which takes half of the
+    time of native expressions: those interpret what is nested in lambdas."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series([_amounts_said(x) for x in s], dtype=object)
+
+    python()
+    there = reduce(lambda a, b: a | b, (text.contains(sign) for sign in _SIGNS))
+    return F.when(there, F.pandas_udf(run, "string")(F.when(there, text))).otherwise(text)
 
 
 def _month(raw: Column, numeral: Column) -> Column:
@@ -163,12 +202,13 @@ def numbers(text: Column) -> Column:
 
 
 def nfc(text: Column) -> Column:
-    """Unicode NFC. ASCII texts, and others without a character that NFC may change, still pass the UDF: Spark has no
-    built-in for it, and the check would cost as much."""
+    """Unicode NFC, in batches of bounded bytes. ASCII texts, and others without a character that NFC may change, still pass
+    the UDF: Spark has no built-in for it, and the check would cost as much."""
 
     def run(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFC")
 
+    python()
     return F.pandas_udf(run, "string")(text)
 
 

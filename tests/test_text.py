@@ -76,3 +76,20 @@ def test_human_bytes_rounds_the_exact_value(spark):
     sizes += [float(1024 * k + j) for k in range(1, 40) for j in (256, 768, 51, 52, 972, 973)]
     rows = spark.createDataFrame([(x,) for x in [*sizes, None]], "n double").select("n", T.human_bytes(F.col("n")).alias("h")).collect()
     assert [(r.n, r.h) for r in rows if r.h != (None if r.n is None else human(r.n))] == []
+
+
+def test_python_gets_batches_of_bounded_bytes(spark):
+    """Long texts come to NFC in small batches."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    T.nfc(F.lit("x"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_currency_is_one_python_step(spark):
+    """Amounts are said in Python, once a text, and the words are those of the native expression."""
+    numerals = ["0", "7", "-12", "1000000000", "123456789012345678", "15.50", "-0.0", "១២.៥", "٣", "1.", ""]
+    got = spark.createDataFrame([(n,) for n in numerals], "n string").select(T.number_words(F.col("n")).alias("w")).collect()
+    assert [r.w for r in got] == [T.spoken(n) for n in numerals]
+    df = spark.createDataFrame([("$១,២៣៤.5 and ៥ រៀល",), ("x",), (None,)], "t string").select(T.currency(F.col("t")).alias("c"))
+    assert [r.c for r in df.collect()] == [f"{T.spoken('1234')}{T.DOLLAR} {T.spoken('50')}{T.CENT} and {T.spoken('5')}{T.RIEL}", "x", None]
+    assert "ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString()

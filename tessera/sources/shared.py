@@ -100,17 +100,17 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-#: Bytes of a batch that goes to a Python worker: ten thousand long texts would not fit.
-BATCH_BYTES = 6 << 20
-_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes and rows of a batch that goes to a Python worker: ten thousand long texts would not fit.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": 6 << 20, "spark.sql.execution.arrow.maxRecordsPerBatch": 1000}
 
 
 def python() -> None:
-    """Makes the active session ready for Python on executors: the package is sent, and the bytes of the batches are bounded
-    unless the session has set them."""
+    """Makes the active session ready for Python on executors: the package is sent, and the bytes and rows of the batches are
+    bounded unless the session has set them."""
     spark = SparkSession.getActiveSession()
     if spark is None:
         return
     ship(spark)
-    if not spark._jsparkSession.sessionState().conf().contains(_BATCH_KEY):
-        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    for key, most in BATCHES.items():
+        if not spark._jsparkSession.sessionState().conf().contains(key):
+            spark.conf.set(key, str(most))

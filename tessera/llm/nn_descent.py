@@ -1,32 +1,39 @@
-"""Approximate nearest neighbours by inner product: NN-descent builds a neighbour graph, queries walk it greedily.
-
-Vectors that are equal make one node (with its smallest ids), so groups of copies neither crowd the graph nor
-hide each other. The graph starts from random-projection leaves: TREES times, nodes are dealt to leaves by the signs of
-random projections (large leaves are cut into blocks of LEAF rows at random), and each takes its best neighbours
-within its block. NN-descent then joins the edges with themselves: a node meets the neighbours of its neighbours,
-in both directions, and keeps its best DEGREE; each round is a Spark join, cut from its lineage. Of a round only
-pairs that have not met at this middle node before, and that beat the last of a full list, go on, which loses nothing.
-Rounds go on until one changes no more than FEW of the edges; lists only improve, so they end. A query starts
-from its own node's neighbours and walks the edges in both directions: it expands those of its best BEAM nodes that it
-has not expanded yet, until there are none. The beam then doubles for each query until a doubling changes no more
-than STABLE of its k best. Walks go by single precision of vectors that are scaled by their largest component, which is kept
-beside them, so magnitudes neither overflow nor vanish; the result's order and scores are inner products in double precision
-of the original vectors.
-
-A node meets others only inside blocks of LEAF rows or through lists of at most DEGREE edges in each direction.
-Edges into a hub, of which there may be as many as nodes, and the ids of a vector's copies are cut to the first few by
-ranked limits on both sides of the shuffle before any is collected, so no collected group grows with the data. The join
-that finds the copies' nodes has one row a vector on one side; a hot vector's rows there are split by adaptive execution.
+"""Approximate nearest neighbours by inner product: NN-descent builds neighbour graphs, queries walk them greedily.
+
+Vectors that are equal make one node (with its smallest ids), so groups of copies neither crowd a graph nor
+hide each other. A hash of the node deals the nodes to shards, each of which is one task's work: its vectors go there once, and
+no row is made for an edge. Shards hold SHARD nodes, and more as the table grows, with the square root of its nodes.
+
+A shard's graph starts from random-projection leaves: TREES times, nodes are halved by random projections down to LEAF, and
+each takes its best neighbours within its leaf. NN-descent then joins the edges with themselves: a node meets the neighbours of
+its neighbours, in both directions, and keeps its best DEGREE. Of a round only pairs that have not met at this middle
+node before, and that beat the last of a full list, go on, which loses nothing. Rounds go on until one changes no more than FEW of
+the edges; lists only improve, so they end.
+
+Each query walks the graph of every shard, with the edges in both directions, from the best of one node in DOORS: it expands
+those of its best BEAM nodes that it has not expanded yet, STEP at a time, until there are none. The beam then doubles for each
+query until a doubling changes no more than STABLE of the shard's best (up to BEAMS times BEAM). These are as many as the hash puts
+into one shard of a query's k nearest, with four standard deviations to spare. Walks go by single precision of vectors that
+are scaled by their largest component, which is kept beside them, so magnitudes neither overflow nor vanish (shards with nodes
+below TINY of the largest go by double precision); the result's order and scores are inner products in double precision of the
+original vectors.
+
+The number of Spark jobs does not depend on the table. A node meets others only inside leaves or through lists of at most DEGREE edges
+in each direction. A task holds one shard (at most LARGEST nodes and SIZE components) and BLOCK queries, which stream past it.
+The build grows with the nodes, the walks with the queries times the shards, the square root of the nodes for large tables. The ids
+of a vector's copies are cut to the first few by ranked limits on both sides of the shuffle before any is collected, so no
+collected group grows with the data. The join that finds the copies' nodes has one row a vector on one side; a hot vector's rows
+there are split by adaptive execution.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a non-finite component take no part;
 so do rows with a null id; of rows with one id each is a candidate; vectors of different lengths are an error of
 the input and raise; fewer than k candidates give all that were reached; an empty table gives an empty result.
-Recall against brute force is measured in the tests, also with leaves far smaller than the table.
+Recall against brute force is measured in the tests, also with leaves and shards far smaller than the table.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from math import ceil, sqrt
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -36,12 +43,23 @@ from .common import materialize, ship
 
 K = 20
 DEGREE = 32
-TREES = 6
-LEAF = 2048
-FEW = 0.001
-BEAM = 128
+TREES = 3
+LEAF = 256
+FEW = 0.01
+BEAM = 64
+BEAMS = 32
+STEP = 32
+DOORS = 16
 STABLE = 0.05
 SEED = 7
+#: Nodes of a shard in a table of up to eight shards; nodes and components of any.
+SHARD = 8192
+LARGEST = 1 << 17
+SIZE = 1 << 24
+#: Queries that walk at once, numbers that meet at once.
+BLOCK = 128
+MEET = 1 << 22
+TINY = 1e-25
 
 
 def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -57,48 +75,264 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
     """For each row of scores the columns of the k largest."""
     k = min(k, scores.shape[1])
     return np.argpartition(-scores, k - 1, axis=1)[:, :k]
 
 
-def _leaves(nodes: DataFrame, blocks_bits: int) -> DataFrame:
-    """(tree, leaf, node, v, w): each node once a tree, by the signs of projections that the seed fixes."""
+def _keys(lists: np.ndarray) -> np.ndarray:
+    """The edges of lists of places as numbers, in order of the node."""
+    return (np.arange(len(lists))[:, None] * len(lists) + lists)[lists >= 0]
+
+
+def _lists(a: np.ndarray, b: np.ndarray, s: np.ndarray, n: int, degree: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best edges from each of n nodes: places (-1 where there are fewer) and scores, best first."""
+    order = np.lexsort((b, -s, a))
+    a, b, s = a[order], b[order], s[order]
+    rank = np.arange(len(a)) - np.searchsorted(a, np.arange(n))[a]
+    fits = rank < degree
+    near, score = np.full((n, degree), -1), np.full((n, degree), -np.inf, s.dtype)
+    near[a[fits], rank[fits]], score[a[fits], rank[fits]] = b[fits], s[fits]
+    return near, score
+
+
+def _kept(keys: np.ndarray, x: np.ndarray, y: np.ndarray, degree: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lists that are left of these edges."""
+    a, b = np.divmod(keys, len(x))
+    s = np.empty(len(a), x.dtype)
+    step = max(1, MEET // x.shape[1])
+    for i in range(0, len(a), step):
+        s[i : i + step] = np.einsum("ij,ij->i", x[a[i : i + step]], y[b[i : i + step]])
+    return _lists(a, b, s, len(x), degree)
+
+
+def _both(near: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Each node's edges and the best of those into it, as many at most: places, -1 for none."""
+    a, at = np.nonzero(near >= 0)
+    back, _ = _lists(near[a, at], a, score[a, at], len(near), near.shape[1])
+    out = np.sort(np.concatenate([near, back], 1), 1)
+    out[:, 1:][out[:, 1:] == out[:, :-1]] = -1
+    return out
+
+
+def _leaves(x: np.ndarray, leaf: int, draw: np.random.Generator) -> list[np.ndarray]:
+    """The places by leaf: halves by random projections."""
+    parts = [np.arange(len(x))]
+    while len(parts[0]) > leaf:
+        halves = []
+        for p in parts:
+            order = p[np.argsort(x[p] @ draw.standard_normal(x.shape[1]).astype(x.dtype), kind="stable")]
+            halves += [order[: (len(p) + 1) // 2], order[(len(p) + 1) // 2 :]]
+        parts = halves
+    return parts
+
+
+def descend(x: np.ndarray, y: np.ndarray, degree: int, leaf: int, trees: int, few: float) -> np.ndarray:
+    """A shard's graph: for each place its neighbours in both directions, -1 for none. a ranks b by x[a] times y[b]."""
+    n, draw, edges = len(x), np.random.default_rng(SEED), [np.zeros(0, np.int64)]
+    for _ in range(trees):
+        for p in _leaves(x, leaf, draw):
+            if len(p) > 1:
+                s = x[p] @ y[p].T
+                np.fill_diagonal(s, -np.inf)
+                edges.append((p[:, None] * n + p[_best(s, min(degree, len(p) - 1))]).ravel())
+    near, score = _kept(np.unique(np.concatenate(edges)), x, y, degree)
+    met, own = None, np.arange(n)[:, None]
+    while True:
+        group = np.concatenate([_both(near, score), own], 1)
+        now = np.where(group >= 0, own * n + group, -1)
+        new = group >= 0
+        if met is not None:
+            new &= ~np.isin(now, met)
+        met, least, found = np.unique(now), score[:, -1], []
+        live = np.flatnonzero(new.any(1))
+        step = max(1, MEET // (group.shape[1] * max(group.shape[1], x.shape[1])))
+        for i in range(0, len(live), step):
+            # All neighbours of one node meet: the edges that are new and better than the last of the node's list.
+            at, fresh = group[live[i : i + step]], new[live[i : i + step]]
+            s = np.matmul(x[at], y[at].transpose(0, 2, 1))
+            better = s > np.where(at >= 0, least[at], np.inf)[:, :, None]
+            better &= (fresh[:, :, None] | fresh[:, None, :]) & (at >= 0)[:, None, :]
+            mid, a, b = np.nonzero(better)
+            a, b = at[mid, a], at[mid, b]
+            found.append(np.unique((a * n + b)[a != b]))
+        old = _keys(near)
+        near, score = _kept(np.unique(np.concatenate([old, *found])), x, y, degree)
+        if (~np.isin(_keys(near), old)).sum() <= few * n * degree:
+            return _both(near, score)
+
+
+def _expand(q, y, near, at, seen, pool, width, step, room):
+    """One step of the queries ``at``: their best open nodes of the beam are expanded. Gives those that had any."""
+    places, scores, done = pool
+    open_ = ~done[at, :width] & (places[at, :width] >= 0)
+    at, open_ = at[open_.any(1)], open_[open_.any(1)]
+    if not len(at):
+        return at, pool
+    row, column = np.nonzero(open_ & (np.cumsum(open_, 1) <= step))
+    done[at[row], column] = True
+    ahead = near[places[at[row], column]]
+    row, to = np.repeat(row, ahead.shape[1]), ahead.ravel()
+    fresh = ~seen[at[row], to]  # the last column stands for -1
+    row, to = np.divmod(np.unique(row[fresh] * (len(y) + 1) + to[fresh]), len(y) + 1)
+    seen[at[row], to] = True
+    ends = np.searchsorted(row, np.arange(len(at) + 1))
+    most = int(np.diff(ends).max())
+    more, s = np.full((len(at), most), -1), np.full((len(at), most), -np.inf, y.dtype)
+    for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
+        more[i, : b - a], s[i, : b - a] = to[a:b], y[to[a:b]] @ q[at[i]]
+    own = [np.concatenate([p[at], z], 1) for p, z in zip(pool, (more, s, np.zeros(s.shape, bool)))]
+    if own[1].shape[1] > room:
+        own = [np.take_along_axis(p, _best(own[1], room), 1) for p in own]
+    order = np.argsort(-own[1], axis=1, kind="stable")
+    wide = max(order.shape[1], places.shape[1])
+    pool = [np.pad(p, ((0, 0), (0, wide - p.shape[1])), constant_values=z) for p, z in zip(pool, (-1, -np.inf, False))]
+    for p, o in zip(pool, own):
+        p[at, : order.shape[1]] = np.take_along_axis(o, order, 1)
+    return at, pool
+
+
+def walk(q: np.ndarray, y: np.ndarray, near: np.ndarray, k: int, most: int, beam: int, beams: int, stable: float) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` best nodes of a shard that each query finds (place, -1 for none, and score); walks end when the k best are stable."""
+    n, rows = len(y), np.arange(len(q))
+    doors = np.random.default_rng(SEED).permutation(n)[: max(64, n // DOORS)]
+    s = q @ y[doors].T
+    at = _best(s, DOORS)
+    s = np.take_along_axis(s, at, 1)
+    order = np.argsort(-s, axis=1, kind="stable")
+    pool = [doors[np.take_along_axis(at, order, 1)], np.take_along_axis(s, order, 1), np.zeros(s.shape, bool)]
+    seen = np.zeros((len(q), n + 1), bool)
+    seen[:, n] = True
+    seen[rows[:, None], pool[0]] = True
+    found, score, last, width = np.full((len(q), most), -1), np.full((len(q), most), -np.inf), None, beam
+    while True:
+        live = np.arange(len(rows))
+        while len(live):
+            live, pool = _expand(q, y, near, live, seen, pool, width, STEP, max(2 * width, most))
+        m = min(most, pool[0].shape[1])
+        found[rows, :m], score[rows, :m] = pool[0][:, :m], pool[1][:, :m]
+        best = pool[0][:, :k]
+        on = np.ones(len(rows), bool)
+        if last is not None:
+            on = (~(best[:, :, None] == last[:, None, :]).any(2)).sum(1) > stable * k
+        if not on.any() or width >= min(n, beam * beams):
+            return found, score
+        # Only queries that are not stable go on.
+        rows, last, q, seen, width = rows[on], best[on], q[on], seen[on], 2 * width
+        pool = [p[on] for p in pool]
+
+
+def light(nodes: DataFrame, top: float) -> DataFrame:
+    """nodes with v in single precision, as parts of its largest component, and w, that component as a part of the table's
+    largest: enough to tell who is near, whatever the vectors' magnitudes. A node ranks others by their w times the product
+    of both v; its own w would not change the order."""
+    scaled = nodes.withColumn("m", F.array_max(F.transform("v", F.abs)))
+    return scaled.select("node", F.transform("v", lambda x: (x / F.col("m")).cast("float")).alias("v"), (F.col("m") / F.lit(top)).alias("w"))
 
-    def run(batches):
-        import pyarrow as pa
 
-        for b in batches:
-            x = _matrix(b.column(1))
-            draw = np.random.default_rng(SEED)
-            for t in range(TREES):
-                signs = x @ draw.standard_normal((x.shape[1], max(1, blocks_bits))) > 0
-                leaf = signs[:, :blocks_bits] @ (1 << np.arange(blocks_bits)) if blocks_bits else np.zeros(len(x), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(leaf.astype(np.int64)), *b.columns], names=["tree", "leaf", "node", "v", "w"])
+def shards(n: int, d: int) -> int:
+    """The number of shards for n nodes of d components."""
+    held = min(LARGEST, SHARD * max(1.0, sqrt(n / (8 * SHARD))), max(256, SIZE // max(1, d)))
+    return max(1, ceil(n / held))
 
-    return nodes.select("node", "v", "w").mapInArrow(run, "tree int, leaf bigint, node bigint, v array<float>, w double")
 
+def _sides(v, w) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's vectors as those that rank and as those that are ranked."""
+    x, w = _matrix(v), w.to_numpy()
+    kind = np.float32 if w.min(initial=1.0) >= TINY else np.float64
+    return x.astype(kind, copy=False), (x * w[:, None]).astype(kind)
 
-_EDGES = "a bigint, b bigint, score double"
 
+def _by_shard(batches):
+    """(shard, rows) of batches in order of their first column, the shard; a shard may come in several."""
+    for b in batches:
+        own = b.column(0).to_numpy()
+        ends = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+        for a, z in zip(ends[:-1], ends[1:]):
+            if z > a:
+                yield int(own[a]), b.slice(a, z - a)
 
-def _edges(a, b, s):
-    import pyarrow as pa
 
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "score": pa.array(np.asarray(s, np.float64))})
+_GRAPH = "shard int, place int, node bigint, v array<float>, w double, near array<int>"
 
 
-def _within(table):
-    """The best edges among the nodes of a block."""
-    ids = table.column("node").to_numpy()
-    x = _matrix(table.column("v").combine_chunks())
-    if len(ids) < 2:
-        return _edges([], [], [])
-    s = (x @ x.T) * table.column("w").to_numpy()
-    np.fill_diagonal(s, -np.inf)
-    at = _best(s, ids, min(DEGREE, len(ids) - 1))
-    return _edges(np.repeat(ids, at.shape[1]), ids[at].ravel(), np.take_along_axis(s, at, 1).ravel())
+def build(nodes: DataFrame, count: int) -> DataFrame:
+    """The graphs of all shards over nodes (node, v, w as light() gives them): a node's place in its shard, and near, the places
+    of its neighbours in both directions."""
+    degree, leaf, trees, few = DEGREE, LEAF, TREES, FEW
+
+    def made(shard, parts):
+        import pyarrow as pa
+
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        node, v, w = (rows.column(c).combine_chunks() for c in ("node", "v", "w"))
+        near = descend(*_sides(v, w), degree, leaf, trees, few)
+        some = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(near >= 0).sum(1)]), pa.int32()), pa.array(near[near >= 0], pa.int32()))
+        n = len(node)
+        out = [pa.array(np.full(n, shard), pa.int32()), pa.array(np.arange(n), pa.int32()), node, v, w, some]
+        yield from pa.Table.from_arrays(out, names=["shard", "place", "node", "v", "w", "near"]).to_batches(max_chunksize=4096)
+
+    def run(batches):
+        at, parts = None, []
+        for shard, rows in _by_shard(batches):
+            if shard != at and parts:
+                yield from made(at, parts)
+                parts = []
+            at = shard
+            parts.append(rows)
+        if parts:
+            yield from made(at, parts)
+
+    dealt = nodes.select(F.pmod(F.xxhash64("node", F.lit(SEED)), F.lit(count)).cast("int").alias("shard"), "node", "v", "w")
+    return dealt.repartitionById(count, "shard").sortWithinPartitions("shard", "node").mapInArrow(run, _GRAPH)
+
+
+def _walks(graph: DataFrame, queries: DataFrame, count: int, k: int) -> DataFrame:
+    """(a, b, score): what each query (q, vq) finds in each shard, a being the query's node."""
+    spread = k / count
+    share = min(k, ceil(spread + 4 * sqrt(spread)))
+    most, beam, beams, stable = 2 * share + 1, BEAM, BEAMS, STABLE
+
+    def answers(shard, ids, q):
+        import pyarrow as pa
+
+        node, y, near = shard
+        for i in range(0, len(q), BLOCK):
+            found, score = walk(q[i : i + BLOCK].astype(y.dtype, copy=False), y, near, share, most, beam, beams, stable)
+            row, column = np.nonzero(found >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i + row]), pa.array(node[found[row, column]]), pa.array(score[row, column])], names=["a", "b", "score"])
+
+    def held(parts):
+        """A shard from its rows: nodes, ranked vectors and neighbours."""
+        import pyarrow as pa
+
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        near = rows.column("near").combine_chunks()
+        size = np.diff(near.offsets.to_numpy())
+        wide = np.full((len(rows), max(1, int(size.max(initial=0)))), -1, np.int32)
+        wide[np.arange(wide.shape[1]) < size[:, None]] = near.flatten().to_numpy()
+        return rows.column("node").to_numpy(), _sides(rows.column("v").combine_chunks(), rows.column("w"))[1], wide
+
+    def run(batches):
+        at, parts, shard = None, [], None
+        for number, rows in _by_shard(batches):
+            if number != at:
+                at, parts, shard = number, [], None
+            asked = rows.column("asks").to_numpy(zero_copy_only=False)
+            first = int(np.searchsorted(asked, True))
+            if first:
+                parts.append(rows.slice(0, first))
+            if first < len(asked):
+                if shard is None:
+                    shard, parts = held(parts), []
+                own = rows.slice(first)
+                yield from answers(shard, own.column("node").to_numpy(), _matrix(own.column("v")))
+
+    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("shard")
+    asks = queries.select(every, F.lit(True).alias("asks"), F.lit(0).alias("place"), F.col("q").alias("node"), F.col("vq").alias("v"), F.lit(1.0).alias("w"), F.array().cast("array<int>").alias("near"))
+    rows = graph.select("shard", F.lit(False).alias("asks"), "place", "node", "v", "w", "near").unionByName(asks)
+    return rows.repartitionById(count, "shard").sortWithinPartitions("shard", "asks", "place", "node").mapInArrow(run, "a bigint, b bigint, score double")
 
 
 def _first(rows: DataFrame, key: str, k: int, *order) -> DataFrame:
@@ -114,84 +348,6 @@ def _top(edges: DataFrame, k: int = DEGREE) -> DataFrame:
     return best.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("score", "b")), asc=False).alias("n"))
 
 
-def _flat(lists: DataFrame) -> DataFrame:
-    return lists.select("a", F.explode("n").alias("e")).select("a", F.col("e.b").alias("b"), F.col("e.score").alias("score"))
-
-
-def _met(ids: np.ndarray, x: np.ndarray, w: np.ndarray, least: np.ndarray, new: np.ndarray):
-    """All neighbours of one node meet: the edges that are new and better than the last of the node's list.
-    No more than DEGREE of them can stay in the list."""
-    if len(ids) < 2:
-        return ids[:0], ids[:0], np.zeros(0)
-    s = (x @ x.T) * w
-    s[~((new[:, None] | new) & (s > least[:, None]))] = -np.inf
-    np.fill_diagonal(s, -np.inf)
-    at = _best(s, ids, DEGREE)
-    s = np.take_along_axis(s, at, 1)
-    row, column = np.nonzero(s > -np.inf)
-    return ids[row], ids[at[row, column]], s[row, column]
-
-
-def _meet(groups: DataFrame) -> DataFrame:
-    """groups (mid, node, v, w, least, new) as lists a middle node; Python gets many groups a batch."""
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for nodes, vectors, weights, least, new in zip(*b.columns):
-                out.append(_met(nodes.values.to_numpy(), _matrix(vectors.values), weights.values.to_numpy(), least.values.to_numpy(), new.values.to_numpy(zero_copy_only=False)))
-            if out:
-                yield from _edges(*map(np.concatenate, zip(*out))).to_batches()
-
-    lists = groups.groupBy("mid").agg(*(F.collect_list(c).alias(c) for c in ("node", "v", "w", "least", "new")))
-    return lists.drop("mid").mapInArrow(run, _EDGES)
-
-
-def light(nodes: DataFrame) -> DataFrame:
-    """nodes with v in single precision, as parts of its largest component, and w, that component as a part of the table's
-    largest: enough to tell who is near, whatever the vectors' magnitudes. A node ranks others by their w times the product
-    of both v; its own w would not change the order."""
-    own = F.array_max(F.transform("v", F.abs))
-    top = nodes.agg(F.max(own)).first()[0] or 1.0
-    scaled = nodes.withColumn("m", own)
-    return scaled.select("node", F.transform("v", lambda x: (x / F.col("m")).cast("float")).alias("v"), (F.col("m") / F.lit(float(top))).alias("w"))
-
-
-def build(nodes: DataFrame, n: int) -> DataFrame:
-    """The graph over nodes (node, v, w as light() gives them): a, n (array of score and b, best first)."""
-    bits = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
-    leaves = _leaves(nodes, bits)
-    sizes = leaves.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF)).alias("cuts"))
-    blocks = leaves.join(sizes, ["tree", "leaf"]).withColumn("cut", F.pmod(F.xxhash64("node", "tree"), F.col("cuts")))
-    graph = materialize(_top(blocks.groupBy("tree", "leaf", "cut").applyInArrow(_within, _EDGES)), "graph")
-    met = None
-    while True:
-        edges = _flat(graph)
-        back = _back(edges)
-        own = nodes.select(F.col("node").alias("mid"), "node")
-        both = own.unionByName(edges.unionByName(back).select(F.col("a").alias("mid"), F.col("b").alias("node"))).withColumn("new", F.lit(True))
-        was = met.select("mid", "node", F.lit(False).alias("new"), F.lit(False).alias("now")) if met else None
-        both = both.withColumn("now", F.lit(True))
-        both = (both.unionByName(was) if met else both).groupBy("mid", "node").agg(F.min("new").alias("new"), F.max("now").alias("now"))
-        met = materialize(both.where("now").select("mid", "node", "new"), "met")
-        least = graph.select(F.col("a").alias("node"), F.when(F.size("n") >= DEGREE, F.element_at("n", -1)["score"]).alias("least"))
-        known = nodes.select("node", "v", "w").join(least, "node", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
-        live = met.where("new").select("mid").distinct()
-        fresh = _meet(met.join(live, "mid", "left_semi").join(known, "node"))
-        before, graph = graph, materialize(_top(edges.unionByName(fresh)), "graph")
-        # Rows of the new lists that the old ones lack.
-        old = before.select("a", F.col("n.b").alias("old"))
-        gained = graph.join(old, "a", "left").select(F.size(F.array_except("n.b", F.coalesce("old", F.array().cast("array<bigint>")))).alias("g")).agg(F.sum("g")).first()[0]
-        if (gained or 0) <= FEW * n * DEGREE:
-            break
-    return graph
-
-
-def _back(edges: DataFrame) -> DataFrame:
-    """The best DEGREE edges into each node, as edges from it."""
-    return _flat(_top(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score")))
-
-
 def _scored(pairs: DataFrame, queries: DataFrame, nodes: DataFrame) -> DataFrame:
     """pairs (q, b) with their score: the product of q's vq and b's v, times w."""
 
@@ -215,42 +371,20 @@ def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id",
     nodes = materialize(groups.select("node", "v"), "nodes")
     members = own.join(groups.select("node", F.col("v").alias("gv"), "h"), (F.xxhash64("v") == F.col("h")) & (F.col("v") == F.col("gv"))).select("node", "vec_id")
     members = materialize(members, "members")
-    flat = materialize(light(nodes), "light")
-    graph = build(flat, nodes.count())
+    table = nodes.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("v")).alias("d"), F.max(F.size("v")).alias("most"), F.max(F.array_max(F.transform("v", F.abs))).alias("top")).first()
+    if table["d"] != table["most"]:
+        raise ValueError(f"vectors of {table['d']} and of {table['most']} components")
+    count = shards(table["n"], table["d"] or 1)
+    flat = light(nodes, float(table["top"] or 1.0))
+    graph = materialize(build(flat, count), "graph")
     wanted = members.where(F.col("vec_id") % every == 0).distinct()
-    # Queries of one vector share a walk, which starts at their node.
-    edges = _flat(graph)
-    graph = materialize(_top(edges.unionByName(_back(edges)), 2 * DEGREE), "both")
+    # Queries of one vector share their walks.
     queries = materialize(wanted.select("node").distinct().join(nodes, "node").select(F.col("node").alias("q"), F.col("v").alias("vq")), "queries")
-    start = queries.select("q").join(graph, F.col("q") == F.col("a"), "left").select("q", F.explode_outer("n").alias("e")).select("q", F.col("e.b").alias("b"), F.col("e.score").alias("score")).where("b is not null")
-    keys = queries.select("q").join(flat.select(F.col("node").alias("q"), F.col("v").alias("vq")), "q")
-    start = _scored(start.select("q", "b"), keys, flat).withColumn("done", F.lit(False))
-    found, last, width = [], None, BEAM
-    while True:
-        while True:
-            best = materialize(_beam(start, 4 * max(width, k + 1)), "beam")
-            open_ = (F.col("place") < max(width, k + 1)) & ~F.col("done")
-            ahead = best.where(open_)
-            if ahead.isEmpty():
-                break
-            ahead = ahead.select("q", "b").join(graph, F.col("b") == F.col("a")).select("q", F.explode("n.b").alias("b")).distinct()
-            ahead = ahead.where("q <> b").join(best.select("q", "b"), ["q", "b"], "left_anti")
-            start = best.select("q", "b", "score", (F.col("done") | open_).alias("done")).unionByName(_scored(ahead, keys, flat).withColumn("done", F.lit(False)))
-        now = best.where(F.col("place") < k).groupBy("q").agg(F.collect_list("b").alias("now"))
-        if last:
-            now = now.join(last.select("q", F.col("now").alias("last")), "q")
-            now = now.select("q", "now", (F.size(F.array_except("now", "last")) > STABLE * k).alias("on"))
-        else:
-            now = now.withColumn("on", F.lit(True))
-        last = materialize(now, "stable")
-        # Some more than k + 1: double precision may order them otherwise.
-        found.append(best.join(last.where("not on"), "q", "left_semi").where(F.col("place") < 2 * k + 1).select("q", "b"))
-        last = last.where("on")
-        if last.isEmpty():
-            break
-        start = best.join(last, "q", "left_semi").select("q", "b", "score", "done")
-        width *= 2
-    found = _scored(reduce(DataFrame.unionByName, found), queries, nodes.withColumn("w", F.lit(1.0)))
+    keys = graph.select(F.col("node").alias("q"), F.col("v").alias("vq")).join(queries.select("q"), "q", "left_semi")
+    # Some more than k + 1: double precision may order them otherwise.
+    found = materialize(_top(_walks(graph, keys, count, k), 2 * k + 1), "found")
+    found = found.select(F.col("a").alias("q"), F.explode("n").alias("e")).select("q", F.col("e.b").alias("b")).where("q <> b")
+    found = _scored(found, queries, nodes.withColumn("w", F.lit(1.0)))
     # The query's own vector is a neighbour too, for its copies.
     itself = queries.select("q", F.col("q").alias("b"), F.aggregate(F.zip_with("vq", "vq", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x).alias("score"))
     few = _first(members.distinct(), "node", k + 1, "vec_id").groupBy("node").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
@@ -261,10 +395,3 @@ def search(rows: DataFrame, every: int = 20, k: int = K, vec_id: str = "vec_id",
     return out.select(F.col("vec_id").alias("query_id"), F.posexplode(top).alias("p", "e")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("e.i").alias("vec_id"), (-F.col("e.s")).alias("score")
     )
-
-
-def _beam(scored: DataFrame, width: int) -> DataFrame:
-    """The best of each query with their place, from 0; done marks what was expanded before."""
-    merged = scored.groupBy("q", "b").agg(F.max("score").alias("score"), F.max("done").alias("done"))
-    packed = merged.groupBy("q").agg(F.collect_list(F.struct("score", "b", "done")).alias("n"))
-    return packed.select("q", F.posexplode(F.slice(F.sort_array("n", asc=False), 1, width)).alias("place", "e")).select("q", "place", "e.b", "e.score", "e.done")

@@ -456,6 +456,36 @@ def test_nearest_neighbours_with_hubs_and_copies(spark, monkeypatch):
     assert found / (20 * 150) >= 0.9
 
 
+def test_nearest_neighbours_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "SHARD", 128)
+    monkeypatch.setattr(nn_descent, "LEAF", 32)
+    x = np.random.default_rng(4).standard_normal((2000, 32))
+    x[500:600] = x[500]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in nn_descent.search(rows).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    found = 0
+    for q in range(0, 2000, 20):
+        s = x @ x[q]
+        found += sum(c >= np.sort(np.delete(s, q))[-20] - 1e-9 for _, c in got[q])
+        assert len(got[q]) == 20 == len({i for i, _ in got[q]} - {q})
+    assert nn_descent.shards(1901, 32) > 8 and found / 2000 >= 0.95
+
+
+def test_work_of_the_neighbour_search():
+    nn = nn_descent
+    # What queries meet, their number times the shards, grows as n * sqrt(n) at most; a shard stays bounded.
+    assert nn.shards(0, 1) == nn.shards(1, 1) == 1
+    assert all(nn.shards(4 * n, 64) <= 2 * nn.shards(n, 64) + 1 for n in (100_000, 600_000, 3_000_000))
+    assert all(n / nn.shards(n, d) <= min(nn.LARGEST, max(256, nn.SIZE // d)) for n in (10**4, 10**6, 10**9) for d in (2, 64, 4096))
+
+
+def test_vectors_of_two_lengths_are_an_error(spark):
+    with pytest.raises(ValueError, match="of 2 and of 3"):
+        nn_descent.search(spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0, 2.0])], "vec_id long, embedding array<double>"))
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 

@@ -81,6 +81,27 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(-scores, k - 1, axis=1)[:, :k]
 
 
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """The distinct numbers in order, by a sort: np.unique's hashing takes several times as long here."""
+    numbers = np.sort(numbers, axis=None)
+    return numbers[np.flatnonzero(np.diff(numbers, prepend=numbers[:1] - 1))]
+
+
+def _held(numbers: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which numbers are among those, which are in order."""
+    if not len(among):
+        return np.zeros(numbers.shape, bool)
+    return among[np.minimum(np.searchsorted(among, numbers), len(among) - 1)] == numbers
+
+
+def _order(a: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The order by a, and of one a by s, largest first."""
+    if s.dtype != np.float32:
+        return np.lexsort((-s, a))
+    bits = s.view(np.int32).astype(np.int64)  # as whole numbers in the order of s
+    return np.argsort((a << 32) - np.where(bits < 0, -(bits & 0x7FFFFFFF), bits))
+
+
 def _keys(lists: np.ndarray) -> np.ndarray:
     """The edges of lists of places as numbers, in order of the node."""
     return (np.arange(len(lists))[:, None] * len(lists) + lists)[lists >= 0]
@@ -88,7 +109,7 @@ def _keys(lists: np.ndarray) -> np.ndarray:
 
 def _lists(a: np.ndarray, b: np.ndarray, s: np.ndarray, n: int, degree: int) -> tuple[np.ndarray, np.ndarray]:
     """The best edges from each of n nodes: places (-1 where there are fewer) and scores, best first."""
-    order = np.lexsort((b, -s, a))
+    order = _order(a, s)
     a, b, s = a[order], b[order], s[order]
     rank = np.arange(len(a)) - np.searchsorted(a, np.arange(n))[a]
     fits = rank < degree
@@ -137,15 +158,15 @@ def descend(x: np.ndarray, y: np.ndarray, degree: int, leaf: int, trees: int, fe
                 s = x[p] @ y[p].T
                 np.fill_diagonal(s, -np.inf)
                 edges.append((p[:, None] * n + p[_best(s, min(degree, len(p) - 1))]).ravel())
-    near, score = _kept(np.unique(np.concatenate(edges)), x, y, degree)
+    near, score = _kept(_distinct(np.concatenate(edges)), x, y, degree)
     met, own = None, np.arange(n)[:, None]
     while True:
         group = np.concatenate([_both(near, score), own], 1)
         now = np.where(group >= 0, own * n + group, -1)
         new = group >= 0
         if met is not None:
-            new &= ~np.isin(now, met)
-        met, least, found = np.unique(now), score[:, -1], []
+            new &= ~_held(now, met)
+        met, least, found = _distinct(now), score[:, -1], []
         live = np.flatnonzero(new.any(1))
         step = max(1, MEET // (group.shape[1] * max(group.shape[1], x.shape[1])))
         for i in range(0, len(live), step):
@@ -156,10 +177,10 @@ def descend(x: np.ndarray, y: np.ndarray, degree: int, leaf: int, trees: int, fe
             better &= (fresh[:, :, None] | fresh[:, None, :]) & (at >= 0)[:, None, :]
             mid, a, b = np.nonzero(better)
             a, b = at[mid, a], at[mid, b]
-            found.append(np.unique((a * n + b)[a != b]))
+            found.append(_distinct((a * n + b)[a != b]))
         old = _keys(near)
-        near, score = _kept(np.unique(np.concatenate([old, *found])), x, y, degree)
-        if (~np.isin(_keys(near), old)).sum() <= few * n * degree:
+        near, score = _kept(_distinct(np.concatenate([old, *found])), x, y, degree)
+        if (~_held(_keys(near), np.sort(old))).sum() <= few * n * degree:
             return _both(near, score)
 
 
@@ -175,7 +196,7 @@ def _expand(q, y, near, at, seen, pool, width, step, room):
     ahead = near[places[at[row], column]]
     row, to = np.repeat(row, ahead.shape[1]), ahead.ravel()
     fresh = ~seen[at[row], to]  # the last column stands for -1
-    row, to = np.divmod(np.unique(row[fresh] * (len(y) + 1) + to[fresh]), len(y) + 1)
+    row, to = np.divmod(_distinct(row[fresh] * (len(y) + 1) + to[fresh]), len(y) + 1)
     seen[at[row], to] = True
     ends = np.searchsorted(row, np.arange(len(at) + 1))
     most = int(np.diff(ends).max())

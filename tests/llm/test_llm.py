@@ -481,6 +481,19 @@ def test_work_of_the_neighbour_search():
     assert all(n / nn.shards(n, d) <= min(nn.LARGEST, max(256, nn.SIZE // d)) for n in (10**4, 10**6, 10**9) for d in (2, 64, 4096))
 
 
+def test_the_neighbour_search_starts_few_jobs(spark):
+    # The driver keeps a plan and its figures for every job: hundreds of them took more than its memory.
+    x = np.random.default_rng(9).standard_normal((600, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    spark.sparkContext.setJobGroup("few-jobs", "the neighbour search")
+    try:
+        assert len(nn_descent.search(rows).collect()) == 600
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs"))
+    assert 0 < jobs <= 40, jobs
+
+
 def test_vectors_of_two_lengths_are_an_error(spark):
     with pytest.raises(ValueError, match="of 2 and of 3"):
         nn_descent.search(spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0, 2.0])], "vec_id long, embedding array<double>"))

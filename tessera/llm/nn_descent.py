@@ -10,7 +10,8 @@ its neighbours, in both directions, and keeps its best DEGREE. Of a round only p
 node before, and that beat the last of a full list, go on, which loses nothing. Rounds go on until one changes no more than FEW of
 the edges; lists only improve, so they end.
 
-Each query walks the graph of every shard, with the edges in both directions, from the best of one node in DOORS: it expands
+Each query walks the graph of every shard, with the edges in both directions, from the best STARTS of one node in DOORS, so that
+clusters without edges to others have doors of their own: it expands
 those of its best BEAM nodes that it has not expanded yet, STEP at a time, until there are none. The beam then doubles for each
 query until a doubling changes no more than STABLE of the shard's best (up to BEAMS times BEAM). These are as many as the hash puts
 into one shard of a query's k nearest, with four standard deviations to spare. Walks go by single precision of vectors that
@@ -49,7 +50,8 @@ FEW = 0.01
 BEAM = 64
 BEAMS = 32
 STEP = 32
-DOORS = 16
+DOORS = 4
+STARTS = 16
 STABLE = 0.05
 SEED = 7
 #: Nodes of a shard in a table of up to eight shards; nodes and components of any.
@@ -219,7 +221,7 @@ def walk(q: np.ndarray, y: np.ndarray, near: np.ndarray, k: int, most: int, beam
     n, rows = len(y), np.arange(len(q))
     doors = np.random.default_rng(SEED).permutation(n)[: max(64, n // DOORS)]
     s = q @ y[doors].T
-    at = _best(s, DOORS)
+    at = _best(s, STARTS)
     s = np.take_along_axis(s, at, 1)
     order = np.argsort(-s, axis=1, kind="stable")
     pool = [doors[np.take_along_axis(at, order, 1)], np.take_along_axis(s, order, 1), np.zeros(s.shape, bool)]

@@ -494,6 +494,16 @@ def test_the_neighbour_search_starts_few_jobs(spark):
     assert 0 < jobs <= 40, jobs
 
 
+def test_walks_find_clusters_without_edges_between():
+    rng = np.random.default_rng(1)
+    x = np.repeat(rng.standard_normal((200, 64)), 40, 0) + 0.05 * rng.standard_normal((8000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None])[rng.permutation(8000)].astype(np.float32)
+    near = nn_descent.descend(x, x, 32, 256, 3, 0.01)
+    got, _ = nn_descent.walk(x[:128], x, near, 20, 41, 64, 32, 0.05)
+    want = np.argsort(-(x[:128] @ x.T), 1)[:, :20]
+    assert min(len(set(a[:20]) & set(b)) for a, b in zip(got, want)) >= 15
+
+
 def test_vectors_of_two_lengths_are_an_error(spark):
     with pytest.raises(ValueError, match="of 2 and of 3"):
         nn_descent.search(spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0, 2.0])], "vec_id long, embedding array<double>"))
